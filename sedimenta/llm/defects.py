@@ -22,6 +22,8 @@ A, R, E, X, U = range(5)
 MAX_TRAINING = 1_500
 #: Share of an answer's characters that must be foreign.
 FOREIGN_SHARE = 0.5
+#: Share of the marker words of one language from which a text counts as all in that language.
+PURE = 0.6
 
 # Frequent words that mark a language, none of them a keyword of program code.
 MARKERS = {
@@ -81,12 +83,15 @@ def fold(text: str) -> str:
     return _OTHER.sub("", text).casefold()
 
 
+def marked(text: str) -> dict[str, int]:
+    """How many words of the text mark each language."""
+    words = re.findall(r"[^\W\d_]+", _TICKS.sub(" ", text).casefold())
+    return {k: sum(map(m.__contains__, words)) for k, m in _MARKER.items()}
+
+
 def language(text: str) -> str | None:
     """The language most of whose marker words stand in the text; None without any, or with as many of another."""
-    words = re.findall(r"[^\W\d_]+", _TICKS.sub(" ", text).casefold())
-    if not words:
-        return None
-    counts = sorted(((sum(w in m for w in words), k) for k, m in _MARKER.items()), reverse=True)
+    counts = sorted(((n, k) for k, n in marked(text).items()), reverse=True)
     return counts[0][1] if counts[0][0] > counts[1][0] else None
 
 
@@ -197,20 +202,24 @@ def _is_open(kind: str, text: str, last: bool, only: bool, items: int) -> str |
     return None if prose_ends(text, kind == "item", only, items) else "open_prose"
 
 
-def featurise(instruction: str, found: list[tuple[str, str]], fenced: bool) -> list[tuple[int, ...]]:
-    """The numbers of the features that hold for each clause."""
+def featurise(instruction: str, found: list[tuple[str, str]], fenced: bool, sizes: list[int] | None = None) -> list[tuple[int, ...]]:
+    """The numbers of the features that hold for each clause; ``sizes`` gets its letters and digits."""
     folded, languages = fold(instruction), allowed(instruction)
     out = []
     items = sum(k == "item" for k, _ in found)
-    # most sentences of one language are told by the answer's whole prose where a clause alone does not tell
-    whole = language(" ".join(t for k, t in found if k in ("prose", "item"))) if languages else None
+    # the language of the whole prose holds for each clause, unless more than one language is in it
+    hits = marked(" ".join(t for k, t in found if k in ("prose", "item"))) if languages else {}
+    whole = max(hits, key=hits.get) if hits and max(hits.values()) else None
+    pure = whole is not None and hits[whole] >= PURE * sum(hits.values())
     for i, (kind, text) in enumerate(found):
         has, last, only = {"bias"}, i == len(found) - 1, len(found) == 1
         low = text.casefold()
-        own = fold(_LABEL.sub("", text))
+        own = fold(_LABEL.sub("", text, count=1))
+        if sizes is not None:
+            sizes.append(len(own) or 1)
         if own and own in folded and (len(own) > 12 or own == folded or (out and _F["echo"] in out[-1])):
             has.add("echo")
-        elif len(own) > 24 and folded:
+        elif len(own) > 24 and sum(own[j : j + 8] in folded for j in range(0, len(own) - 7, max(1, (len(own) - 8) // 5))) >= 3:
             grams = {own[j : j + 8] for j in range(len(own) - 7)}
             if sum(g in folded for g in grams) >= 0.85 * len(grams):
                 has.add("near_echo")
@@ -230,7 +239,7 @@ def featurise(instruction: str, found: list[tuple[str, str]], fenced: bool) -> l
                 has.add("label")
             if text.rstrip().endswith("?"):
                 has.add("question")
-            if languages and (tongue := language(text) or whole):
+            if languages and (tongue := whole if pure else language(text) or whole):
                 has.add("own_language" if tongue in languages else "foreign")
         if state := _is_open("prose" if kind == "code" and fenced and not last else kind, text, last, only, items):
             if not (kind == "code" and fenced):  # a closed fence is a finished block
@@ -312,8 +321,13 @@ def is_empty(output: str | None) -> bool:
     """Nothing but blanks, punctuation, empty markup, a bare heading, or a note that there is no answer."""
     if output is None:
         return True
+    if len(output) > 500:  # what the start alone shows need not be looked for in the whole
+        start = output[:400]
+        start = start[: start.rfind("<")] if start.rfind("<") > start.rfind(">") else start
+        if len(fold(_MARKUP.sub(" ", start))) > 80:
+            return False
     text = _MARKUP.sub(" ", output)
-    core = " ".join(_OTHER.sub(" ", text.replace("/", "/")).split())
+    core = " ".join(_OTHER.sub(" ", text).split())
     if not core:
         return True
     lines = [x for x in text.strip().splitlines() if fold(x)]
@@ -386,7 +400,8 @@ def defect(instruction: str, output: str | None, field: Field, memo: dict | None
     found = clauses(output)
     if not found:
         return "empty"
-    feats = featurise(instruction, found, "```" in output)
+    size: list[int] = []
+    feats = featurise(instruction, found, "```" in output, size)
     key = tuple(feats)
     tags = None if memo is None else memo.get(key)
     if tags is None:
@@ -395,11 +410,10 @@ def defect(instruction: str, output: str | None, field: Field, memo: dict | None
             if len(memo) > 200_000:
                 memo.clear()
             memo[key] = tags
-    size = [len(fold(t)) or 1 for _, t in found]
     cover = [sum(n for n, g in zip(size, tags) if g == tag) for tag in range(len(TAGS))]
     total = sum(size)
     # a field tags clause by clause; what the whole answer says of itself comes first
-    if fold(_LABEL.sub("", output)) and cover[E] + sum(n for n, f in zip(size, feats) if _F["label"] in f) >= 0.9 * total and cover[E] >= 0.5 * len(fold(instruction)):
+    if cover[E] and cover[E] + sum(n for n, f in zip(size, feats) if _F["label"] in f) >= 0.9 * total and cover[E] >= 0.5 * len(fold(instruction)):
         return "copies_question"
     if cover[R] and cover[R] + cover[E] == total:
         return "refusal"
