@@ -57,8 +57,8 @@ def queries() -> dict[str, Query]:
 _P8_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
 b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL),
-dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), i -> hash(array_to_string(w[i:i+11], ' ')))) AS g FROM d WHERE len(w) >= 12),
-bg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), i -> hash(array_to_string(w[i:i+11], ' ')))) AS g FROM b WHERE len(w) >= 12)
+dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda i: hash(array_to_string(w[i:i+11], ' ')))) AS g FROM d WHERE len(w) >= 12),
+bg AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 10), lambda i: hash(array_to_string(w[i:i+11], ' ')))) AS g FROM b WHERE len(w) >= 12)
 SELECT DISTINCT doc_id, item_id FROM dg JOIN bg USING (g)
 """
 
