@@ -86,13 +86,8 @@ def identifiers(df: DataFrame, order: str = "ordinal", instruction: str = "instr
     )
     # one canonical form per distinct value; Python sees only the values that look like a JSON object
     looks_json = (F.col("field") == 1) & F.col("value").rlike(r"^\s*\{[\s\S]*\}\s*$")
-    forms = values.select(
-        "field",
-        digest(F.col("value")).alias("digest"),
-        "first",
-        digest(reduced(F.col("value"))).alias("plain"),
-        digest(F.when(F.col("field") == 0, field_lines(F.col("value"))).otherwise(_json_forms(F.when(looks_json, F.col("value"))))).alias("free"),
-    )
+    plain_form, free_form = digest(reduced(F.col("value"))), F.when(F.col("field") == 0, field_lines(F.col("value"))).otherwise(_json_forms(F.when(looks_json, F.col("value"))))
+    forms = materialise(values.select("field", digest(F.col("value")).alias("digest"), "first", plain_form.alias("plain"), digest(free_form).alias("free")), "p1")  # read four times
     # values with the same letters and digits fall together; through ``free`` so do the reordered ones
     plain = forms.groupBy("field", "plain").agg(F.min("free").alias("free"), F.min("first").alias("first")).withColumn("form", F.coalesce("free", "plain"))
     ids = plain.groupBy("field", "form").agg(F.min("first").alias("id"))
