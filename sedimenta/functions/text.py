@@ -35,7 +35,8 @@ def first_truthy(*values: Column) -> Column:
 
 def first_filled(*values: Column) -> Column:
     """The first value that is not blank, stripped; else an empty text."""
-    return F.coalesce(*(F.nullif(coerce(v), F.lit("")) for v in values), F.lit(""))
+    filled = F.filter(F.transform(F.array(*(v.cast("string") for v in values)), coerce), lambda x: x != "")
+    return F.coalesce(F.get(filled, F.lit(0)), F.lit(""))  # one loop, however many values: the generated code stays small
 
 
 def lines(text: Column) -> Column:

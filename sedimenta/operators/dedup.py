@@ -75,9 +75,9 @@ def duplicate_rows(df: DataFrame, order: str | None = None, first: int | None =
     own = [c for c in df.columns if c != order]
     head = df.orderBy(order).limit(first) if first is not None and order else df
     keys = head.select(F.sha2(F.to_json(F.struct(*sorted(own)), {"ignoreNullFields": "false"}), 256).alias("k"))
-    n = keys.groupBy("k").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("n_duplicates"))
-    total = df.agg(F.count("*").alias("n_rows"))
-    return total.crossJoin(n).select("n_rows", "n_duplicates", F.round(F.when(F.col("n_rows") > 0, 100.0 * F.col("n_duplicates") / F.col("n_rows")).otherwise(0.0), 4).alias("duplicate_pct"))  # one row each
+    total = df.count()
+    pct = 100.0 * F.col("n_duplicates") / max(total, 1)
+    return keys.groupBy("k").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("n_duplicates")).select(F.lit(total).cast("long").alias("n_rows"), "n_duplicates", F.round(pct, 4).alias("duplicate_pct"))
 
 
 def unseen(df: DataFrame, seen: DataFrame, column: str = "output") -> DataFrame:
