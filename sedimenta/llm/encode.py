@@ -115,6 +115,7 @@ def decoded(df: DataFrame, key: str = "doc_id", name: str = "byte_bpe_50k", fold
     spark = df.sparkSession
     enc = encoding(name, folder)
     pieces = spark.createDataFrame([(i, enc.decode_single_token_bytes(i).hex()) for i in sorted(enc._mergeable_ranks.values())], "id int, piece string")
-    parts = df.select(key, F.posexplode_outer("ids").alias("pos", "id")).join(F.broadcast(pieces), "id", "left")
+    # lists of ids cross the network, not single ids: what follows keeps the partitioning by key
+    parts = df.select(key, "ids").repartition(F.col(key)).select(key, F.posexplode_outer("ids").alias("pos", "id")).join(F.broadcast(pieces), "id", "left")
     grouped = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), F.struct("pos", "piece")))).alias("p"))
     return grouped.select(key, F.decode(F.unhex(F.array_join("p.piece", "")), "UTF-8").alias("text"))

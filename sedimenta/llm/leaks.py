@@ -190,7 +190,10 @@ def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LE
                     out += [(keys[i], items.ids[o], True, float(cosine[i, js[owners == o]].max()), 1.0) for o in hit]
                     for j in js[cosine[i, js] >= PARAPHRASE_COSINE] if paraphrases else ():
                         o, own = items.owners[j], items.passages[j]
-                        if o not in hit and (share := common_subsequence(own, found[i], idf) / idf[own].sum()) >= PARAPHRASE_LCS:
+                        least_common = PARAPHRASE_LCS * idf[own].sum()
+                        if o in hit or idf[own[np.isin(own, found[i])]].sum() < least_common:  # no order of the words can do
+                            continue
+                        if (share := common_subsequence(own, found[i], idf) / idf[own].sum()) >= PARAPHRASE_LCS:
                             out.append((keys[i], items.ids[o], False, float(cosine[i, j]), share))
                 yield pd.DataFrame(out, columns=["key", "item_id", "verbatim", "cosine", "lcs_share"])
 
