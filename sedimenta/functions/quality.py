@@ -7,11 +7,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sedimenta.functions.text import lines, strip
+from sedimenta.functions.text import let, lines, strip
 
 # Languages that count as known, beginnings of comment lines, signs of generated files, good characters.
 KNOWN_LANGUAGES = tuple("python javascript typescript java c c++ c# go rust ruby php swift kotlin scala r matlab shell bash sql html css markdown haskell ocaml erlang elixir clojure julia lua perl".split())
-COMMENT_PREFIXES = ("#", "//", "--", ";", "%", "/*", "*", '"""', "'''")
+COMMENT = r"^(?:#|//|--|;|%|/\*|\*|\"\"\"|''')"
 AUTOGEN_PATTERNS = (r"auto[-_]?generated", r"\bdo\s+not\s+edit\b", r"generated\s+by\b", r"@generated", r"this\s+file\s+is\s+generated", r"machine[-_]generated", r"automatically\s+generated")
 NOT_GOOD = r"[^\p{L}\p{N} \t\n\r_.,()\[\]{}:;\"'=\-+*/\\|<>!@#$%^&~`]"
 AUTOGEN_CHARS = 2000
@@ -53,16 +53,14 @@ def token_score(text: Column, low: int = 10, high: int = 8192) -> Column:
 
 def alpha_score(text: Column, least: float = 0.25) -> Column:
     """1 from the share ``least`` of good characters on, the share divided by it below; 0 for an empty text."""
-    share = F.length(F.regexp_replace(text, NOT_GOOD, "")) / F.length(text)
-    return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, 0.0).when(share < least, share / max(least, 1e-9)).otherwise(1.0)
+    share = F.length(F.regexp_replace(text, NOT_GOOD, "")) / F.nullif(F.length(text), F.lit(0))
+    return let(share, lambda s: F.when(s.isNull(), 0.0).when(s < least, s / max(least, 1e-9)).otherwise(1.0))
 
 
 def comment_score(text: Column, most: float = 0.80) -> Column:
     """1 up to the share ``most`` of comment lines, down to 0 for nothing else; 0 without any line."""
-    filled = lines(text)
-    comments = F.filter(filled, lambda x: x.rlike(r"^(?:#|//|--|;|%|/\*|\*|\"\"\"|''')"))
-    share = F.size(comments) / F.size(filled)
-    return F.when(text.isNull() | (F.size(filled) <= 0), 0.0).when(share > most, F.greatest(F.lit(0.0), 1.0 - (share - most) / max(1.0 - most, 1e-9))).otherwise(1.0)
+    share = let(lines(text), lambda all_: F.size(F.filter(all_, lambda x: x.rlike(COMMENT))) / F.nullif(F.size(all_), F.lit(0)))
+    return let(share, lambda s: F.when(s.isNull(), 0.0).when(s > most, F.greatest(F.lit(0.0), 1.0 - (s - most) / max(1.0 - most, 1e-9))).otherwise(1.0))
 
 
 def autogen_score(text: Column, patterns: tuple[str, ...] = AUTOGEN_PATTERNS) -> Column:

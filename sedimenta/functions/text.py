@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -13,9 +14,11 @@ LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 TAG = r"<[^>]+>"
 
 
+#: The same characters one by one.
+SPACE_CHARS = "".join(chr(c) for c in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 def strip(text: Column) -> Column:
     """Without white space at both ends; null stays null."""
-    return F.regexp_replace(text, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def is_blank(text: Column) -> Column:
@@ -63,6 +66,20 @@ def blocked(text: Column, substrings: tuple[str, ...] = (), patterns: tuple[str,
     return F.coalesce(reduce(lambda a, b: a | b, tests, F.lit(False)), F.lit(False))
 
 
+def once(value: Column) -> Column:
+    """``value``, computed once a row: the optimizer copies it neither into filters nor into each of its users.
+
+    Filters that read a column of expensive expressions would else be pushed below it, with a copy of the expression for
+    every reference. The condition always holds, but is not known to.
+    """
+    return F.when(F.rand(0) >= 0.0, value)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def token_estimate(text: Column) -> Column:
     """Characters divided by four."""
     return F.length(text) / 4.0

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from sedimenta.functions import text as X
 from sedimenta.functions.quality import QualityConfig, quality
 from sedimenta.operators.dedup import occurrence
+from sedimenta.session import materialise
 
 
 @dataclass(frozen=True)
@@ -43,7 +44,8 @@ class PipelineConfig:
 def cleaned(df: DataFrame, c: CleanConfig = CleanConfig()) -> DataFrame:
     """Cleaned texts; the id stays that of the texts before cleaning."""
     tidy = lambda n: X.clean(F.col(n), c.strip_html, c.strip_spaces)
-    return df.withColumns({"instruction": tidy("instruction"), "output": tidy("output"), "input": F.when(F.coalesce(F.col("input"), F.lit("")) != "", tidy("input")).otherwise(F.lit(""))})
+    input_ = F.when(F.coalesce(F.col("input"), F.lit("")) != "", tidy("input")).otherwise(F.lit(""))
+    return df.withColumns({"instruction": X.once(tidy("instruction")), "output": X.once(tidy("output")), "input": input_})
 
 
 def too_short_or_long(c: CleanConfig = CleanConfig()):
@@ -61,7 +63,7 @@ def clean_stage(df: DataFrame, c: CleanConfig = CleanConfig()) -> DataFrame:
 
 def quality_stage(df: DataFrame, c: QualityConfig = QualityConfig()) -> DataFrame:
     """Rows whose unrounded score reaches the threshold, with the score rounded to 4 decimals."""
-    scored = df.withColumn("_score", quality(F.col("output"), F.col("language"), c)).filter(F.col("_score") >= c.min_score)
+    scored = df.withColumn("_score", X.once(quality(F.col("output"), F.col("language"), c))).filter(F.col("_score") >= c.min_score)
     return scored.withColumn("quality_score", F.round("_score", 4)).drop("_score")
 
 
@@ -78,24 +80,26 @@ def curate(df: DataFrame, c: PipelineConfig = PipelineConfig(), order: str = "or
     return dedup_stage(df, order, c.max_copies) if c.enable_dedup else df
 
 
-def mark(df: DataFrame, c: PipelineConfig = PipelineConfig(), order: str = "ordinal") -> DataFrame:
+def mark(df: DataFrame, c: PipelineConfig = PipelineConfig(), order: str = "ordinal", only: tuple[str, ...] | None = None) -> DataFrame:
     """All rows, cleaned and scored, with ``drop_reason``: cleaning, quality, dedup, or null for a row that stays.
 
     Copies are counted among the rows that the earlier stages leave. ``_score`` is null for rows that were not scored.
+    The two readers that the count of copies needs share one written table; with ``only`` it has no other columns.
     """
     reason = F.lit(None).cast("string")
     if c.enable_cleaning:
         df, reason = cleaned(df, c.clean), F.when(too_short_or_long(c.clean) | on_blocklist(c.clean), F.lit("cleaning"))
     df = df.withColumn("drop_reason", reason)
     score = quality(F.col("output"), F.col("language"), c.quality) if c.enable_quality else F.lit(None).cast("double")
-    df = df.withColumn("_score", F.when(F.col("drop_reason").isNull(), score))
+    df = df.withColumn("_score", X.once(F.when(F.col("drop_reason").isNull(), score)))
     if c.enable_quality:
         df = df.withColumn("drop_reason", F.coalesce("drop_reason", F.when(F.col("_score") < c.quality.min_score, F.lit("quality"))))
         df = df.withColumn("quality_score", F.coalesce(F.round("_score", 4), "quality_score"))
     if c.enable_dedup:
         # rows that already dropped out get a key of their own: they neither count as copies nor gather in one task
         key = F.when(F.col("drop_reason").isNull(), F.sha2("output", 256)).otherwise(F.concat(F.lit("-"), F.col(order).cast("string")))
-        df = occurrence(df, key, order, "_n")
+        own = df.columns if only is None else [*dict.fromkeys((*only, order, "drop_reason", "_score"))]
+        df = occurrence(materialise(df.select(*own, key.alias("_copy")), "mark"), F.col("_copy"), order, "_n").drop("_copy")
         df = df.withColumn("drop_reason", F.coalesce("drop_reason", F.when(F.col("_n") > c.max_copies, F.lit("dedup")))).drop("_n")
     return df
 

@@ -99,7 +99,7 @@ def _unseen(s: SparkSession, d: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     """A function of session and folder for each query."""
     return {
-        "pipeline_stats": lambda s, d: curate.pipeline_stats(curate.mark(prepared(s, d)), "language"),
+        "pipeline_stats": lambda s, d: curate.pipeline_stats(curate.mark(prepared(s, d), only=("language",)), "language"),
         "curated": lambda s, d: curate.curate(prepared(s, d)).select("ordinal", "instruction", "input", "output", "quality_score"),
         "adapted": lambda s, d: adapt_mixed(table(s, d, "raw_records"), table(s, d, "dataset_registry"), ("raw_id",)).drop("schema_version", "quality_score", "metadata"),
         "jsonl_lines": _lines,
