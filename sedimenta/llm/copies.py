@@ -23,7 +23,7 @@ _OTHER = r"[^\p{L}\p{N}]+"
 
 def reduced(text: Column) -> Column:
     """Letters and digits only, letter case folded (upper then lower, so that sharp s equals ss)."""
-    return F.lower(F.upper(F.regexp_replace(text, _OTHER, "")))
+    return F.lower(F.regexp_replace(F.upper(text), _OTHER, ""))  # next to each other, the optimizer would drop the upper
 
 
 def field_lines(text: Column) -> Column:

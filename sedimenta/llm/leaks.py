@@ -112,8 +112,8 @@ def passages(documents: DataFrame, vocabulary: dict[str, int], key: str = "doc_i
                 n = known[np.minimum(starts + WINDOW, len(codes))] - known[starts]
                 for s in starts[n >= RUN]:
                     keys.append(k)
-                    found.append(codes[s : s + WINDOW])
-            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "words": found})
+                    found.append(codes[s : s + WINDOW].tolist())
+            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "words": pd.Series(found, dtype=object)})
 
     return documents.select(F.col(key).cast("long").alias(key), F.col(text)).filter(F.col(key).isNotNull() & F.col(text).isNotNull()).mapInPandas(cut, "key long, words array<int>")
 
