@@ -173,28 +173,40 @@ def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LE
     idf = (np.log((n + len(items.passages) + 1) / (df + 1)) + 0.1).astype(np.float32)
     space = basis(cut, items, idf, rank)
     unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-    shared = spark.sparkContext.broadcast((items, idf, space, unit(vectors(items.passages, idf) @ space)))
+    v, own = len(idf), items.passages
+    weight = np.append(idf, np.float32(0))  # the last place stands for no word
+    padded = np.full((len(own), WINDOW), v, dtype=np.int32)
+    for j, p in enumerate(own):
+        padded[j, : len(p)] = p
+    shared = spark.sparkContext.broadcast((items, idf, space, unit(vectors(own, idf) @ space), padded, weight, weight[padded].sum(axis=1) * PARAPHRASE_LCS))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, idf, space, targets = shared.value
+        items, idf, space, targets, padded, weight, needed = shared.value
         for pdf in batches:
             for at in range(0, len(pdf), 1_000):
                 part = pdf.iloc[at : at + 1_000]
                 found = [np.asarray(w) for w in part["words"]]
-                cosine = unit(vectors(found, idf) @ space) @ targets.T
-                keys, near, out = part["key"].to_numpy(), cosine >= least, []
+                tfidf = vectors(found, idf)
+                cosine = unit(tfidf @ space) @ targets.T
+                keys, near, out, hits = part["key"].to_numpy(), cosine >= least, [], {}
                 for i in np.flatnonzero(near.any(axis=1)):
-                    js = np.flatnonzero(near[i])
-                    owners = items.owners[js]
-                    hit = {o for g in runs(found[i]) for o in items.by_run.get(g, ())}.intersection(owners.tolist())
-                    out += [(keys[i], items.ids[o], True, float(cosine[i, js[owners == o]].max()), 1.0) for o in hit]
-                    for j in js[cosine[i, js] >= PARAPHRASE_COSINE] if paraphrases else ():
-                        o, own = items.owners[j], items.passages[j]
-                        least_common = PARAPHRASE_LCS * idf[own].sum()
-                        if o in hit or idf[own[np.isin(own, found[i])]].sum() < least_common:  # no order of the words can do
-                            continue
-                        if (share := common_subsequence(own, found[i], idf) / idf[own].sum()) >= PARAPHRASE_LCS:
-                            out.append((keys[i], items.ids[o], False, float(cosine[i, j]), share))
+                    hit = {o for g in runs(found[i]) for o in items.by_run.get(g, ())}
+                    if hit:
+                        js = np.flatnonzero(near[i])
+                        owners = items.owners[js]
+                        hits[i] = hit.intersection(owners.tolist())
+                        out += [(keys[i], items.ids[o], True, float(cosine[i, js[owners == o]].max()), 1.0) for o in hits[i]]
+                if paraphrases:
+                    pi, pj = np.nonzero(cosine >= PARAPHRASE_COSINE)
+                    has = np.append(tfidf > 0, np.zeros((len(found), 1), dtype=bool), axis=1)
+                    # the weight of the words in common bounds that of a subsequence: only pairs above it are aligned
+                    for c in range(0, len(pi), 50_000):
+                        i_, j_ = pi[c : c + 50_000], pj[c : c + 50_000]
+                        common = (has[i_[:, None], padded[j_]] * weight[padded[j_]]).sum(axis=1)
+                        for i, j in zip(i_[common >= needed[j_]], j_[common >= needed[j_]]):
+                            o, words = items.owners[j], items.passages[j]
+                            if o not in hits.get(i, ()) and (share := common_subsequence(words, found[i], idf) / idf[words].sum()) >= PARAPHRASE_LCS:
+                                out.append((keys[i], items.ids[o], False, float(cosine[i, j]), share))
                 yield pd.DataFrame(out, columns=["key", "item_id", "verbatim", "cosine", "lcs_share"])
 
     return cut.mapInPandas(search, "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
