@@ -52,12 +52,12 @@ DECLINES = (
     r"(?:do not|don['’]?t) permit",
     r"outside (?:of )?what i (?:am|['’]m) allowed",
     r"as an? (?:ai |artificial )?(?:language model|assistant|ai\b)",
-    r"als (?:ki-)?sprachmodell|dabei nicht helfen|nicht beantworten|nicht weiterhelfen|anfrage (?:leider )?(?:ablehnen|nicht)|ablehnen|darf ich (?:\w+ ){0,3}nicht|kann ich (?:\w+ ){0,3}nicht (?:helfen|beantworten|erfüllen|schreiben)|(?:außerhalb|jenseits) dessen|gegen meine (?:richtlinien|vorgaben)|nicht (?:in der lage|möglich|imstande|erlaubt)",
-    r"en tant que modèle|(?:dois|suis obligée? de) (?:refuser|décliner)|impossible (?:pour moi )?de (?:répondre|vous aider|faire|traiter)|ne (?:peux|puis|suis) pas (?:\w+ ){0,4}(?:aider|répondre|faire|capable|autorisée?|en mesure)|contraire à mes|(?:en dehors|au-delà) de ce que",
+    r"als (?:ki )?sprachmodell|dabei nicht helfen|nicht beantworten|nicht weiterhelfen|anfrage (?:leider )?(?:ablehnen|nicht)|ablehnen|darf ich (?:\w+ ){0,3}nicht|kann ich (?:\w+ ){0,3}nicht (?:helfen|beantworten|erfüllen|schreiben)|(?:außerhalb|jenseits) dessen|gegen meine (?:richtlinien|vorgaben)|nicht (?:in der lage|möglich|imstande|erlaubt)",
+    r"en tant que modèle|(?:dois|suis obligée? de) (?:refuser|décliner)|impossible (?:pour moi )?de (?:répondre|vous aider|faire|traiter)|ne (?:peux|puis|suis) pas (?:\w+ ){0,4}(?:aider|répondre|faire|capable|autorisée?|en mesure)|contraire à mes|(?:en dehors|au delà) de ce que",
     r"como modelo de|no (?:puedo|podré|me es posible|soy capaz de|estoy autorizad[oa] a) (?:\w+ ){0,3}(?:ayudar|responder|contestar|hacer|atender|escribir|cumplir)|no (?:puedo|podré) ayudar|(?:debo|tengo que) (?:rechazar|declinar|negarme)|contra mis (?:normas|reglas|directrices)|fuera de lo que",
 )
 REGRETS = r"^\W*(?:i['’ ]?a?m (?:very |really )?sorry|sorry|i apologi[sz]e|apologies|unfortunately|regrettably|thank you for asking|i understand what you need|i appreciate|es tut mir (?:sehr )?leid|tut mir leid|leider|entschuldig\w+|bedaure\w*|ich verstehe|danke|je suis (?:vraiment )?désolée?|désolée?|malheureusement|je regrette|merci|je comprends|lo siento|disculp\w+|lamentablemente|por desgracia|desafortunadamente|perd[oó]n\w*|gracias|entiendo)\b"
-CLOSERS = r"^\W*(?:let me know|is there anything else|i hope (?:you|this)|please (?:consult|contact|ask|reach)|feel free|how else can i|bitte (?:wende|konsultier|frag)\w*|ich hoffe|gibt es (?:sonst|noch)|lass(?:en)? (?:es )?mich|sag mir|veuillez (?:consulter|contacter|vous)|n['’]hésitez|j['’]espère|y a-t-il|puis-je|por favor,? (?:consult|contact|pregunt)\w*|espero que|¿?hay (?:algo|alguna)|avísame|dime si)"
+CLOSERS = r"^\W*(?:let me know|is there anything else|i hope (?:you|this)|please (?:consult|contact|ask|reach)|feel free|how else can i|bitte (?:wende|konsultier|frag)\w*|ich hoffe|gibt es (?:sonst|noch)|lass(?:en)? (?:es )?mich|sag mir|veuillez (?:consulter|contacter|vous)|n['’]hésitez|j['’]espère|y a t il|puis-je|por favor (?:consult|contact|pregunt)\w*|espero que|¿?hay (?:algo|alguna)|avísame|dime si)"
 RESTATES = r"^\W*(?:you (?:are asking|asked|want to know)|your question|du fragst|sie fragen|(?:vous demandez|tu demandes)|preguntas|me preguntas)\b"
 _DECLINE, _REGRET, _CLOSER, _RESTATE = re.compile("|".join(DECLINES)), re.compile(REGRETS), re.compile(CLOSERS), re.compile(RESTATES)
 
@@ -76,6 +76,7 @@ _CODE_START = re.compile(r"\s*(?:def |class |public |private |package |export |c
 _CODE_SIGN = re.compile(r"[{}();=\[\]]|:\s*\n|:$")
 _STRINGS = re.compile(r'"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'|`[^`]*`')
 _OTHER = re.compile(r"[\W_]+")
+_GAP = re.compile(r"[^\w'’]+")
 
 
 def fold(text: str) -> str:
@@ -213,7 +214,7 @@ def featurise(instruction: str, found: list[tuple[str, str]], fenced: bool, size
     pure = whole is not None and hits[whole] >= PURE * sum(hits.values())
     for i, (kind, text) in enumerate(found):
         has, last, only = {"bias"}, i == len(found) - 1, len(found) == 1
-        low = text.casefold()
+        low = _GAP.sub(" ", text.casefold())
         own = fold(_LABEL.sub("", text, count=1))
         if sizes is not None:
             sizes.append(len(own) or 1)
