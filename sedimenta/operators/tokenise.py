@@ -45,3 +45,8 @@ def tokenised(df: DataFrame, encode: Encode = hashed_pieces, key: str = "ordinal
             yield pd.DataFrame(out, columns=["key", "input_ids", "attention_mask", "labels"])
 
     return rows.mapInPandas(run, "key long, input_ids array<int>, attention_mask array<int>, labels array<int>").withColumnRenamed("key", key)
+
+
+def write_cache(tokens: DataFrame, target: str) -> None:
+    """Token ids as Parquet; a cache that exists stays as it is."""
+    tokens.write.mode("ignore").parquet(target)

@@ -209,3 +209,19 @@ def test_stream_counts_copies_over_batches_and_restarts(spark, tmp_path):
     assert {r[0]: r[1] for r in run()} == {True: 2, False: 4}
     arrive(3, same)
     assert {r[0]: r[1] for r in run()} == {True: 2, False: 4}
+
+
+def test_log_files_and_token_caches(spark, tmp_path):
+    import logging
+
+    from sedimenta.logs import configure
+    from sedimenta.operators.tokenise import tokenised, write_cache
+
+    log = configure(str(tmp_path / "l/run.log"), "sedimenta.test")
+    assert configure(str(tmp_path / "l/run.log"), "sedimenta.test") is log and len(log.handlers) == 2
+    log.debug("detail")
+    logging.shutdown()
+    assert "detail" in (tmp_path / "l/run.log").read_text()
+    for n in (3, 5):
+        write_cache(tokenised(examples(spark, n)), str(tmp_path / "c"))
+    assert spark.read.parquet(str(tmp_path / "c")).count() == 3
