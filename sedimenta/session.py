@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, so that workers can import it wherever they run."""
+    context = spark.sparkContext
+    if not getattr(context, "_sedimenta_shipped", False):
+        package = Path(__file__).resolve().parent
+        # in the session's own folder on the driver, from where Spark serves it as long as the session lasts
+        context.addPyFile(shutil.make_archive(f"{context._temp_dir}/sedimenta", "zip", package.parent, package.name))
+        context._sedimenta_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a fresh temporary one where it is unset (tests)."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
