@@ -70,9 +70,9 @@ def once(value: Column) -> Column:
     """``value``, computed once a row: the optimizer copies it neither into filters nor into each of its users.
 
     Filters that read a column of expensive expressions would else be pushed below it, with a copy of the expression for
-    every reference. The condition always holds, but is not known to.
+    every reference. The condition always holds, but the optimizer does not know (of ``rand() >= 0`` it does).
     """
-    return F.when(F.rand(0) >= 0.0, value)
+    return F.when(F.spark_partition_id() >= 0, value)
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
