@@ -20,6 +20,8 @@ TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
 A, R, E, X, U = range(5)
 #: Most pairs taken to train on, those of the smallest hash of their text; all pairs are tagged.
 MAX_TRAINING = 1_500
+#: Most clauses of a sequence to train on.
+MAX_CLAUSES = 12
 #: Share of an answer's characters that must be foreign.
 FOREIGN_SHARE = 0.5
 #: Share of the marker words of one language from which a text counts as all in that language.
@@ -348,7 +350,7 @@ def examples(pairs: list[tuple[str, str]], seed: int = 7) -> list[tuple[list[tup
         found = clauses(output)
         feats = featurise(instruction, found, "```" in output)
         bad = {_F[x] for x in ("decline", "echo", "near_echo", "foreign", "open_prose", "open_code")}
-        if found and not any(bad.intersection(f) for f in feats) and len(found) <= 24:
+        if found and not any(bad.intersection(f) for f in feats) and len(found) <= MAX_CLAUSES:
             sound.append((instruction, output))
             out.append((feats, [A] * len(found)))
     refusals = [(a, b, c) for a in _SAY_FIRST for b in _SAY for c in _SAY_LAST]
@@ -362,29 +364,29 @@ def examples(pairs: list[tuple[str, str]], seed: int = 7) -> list[tuple[list[tup
         found = clauses(text)
         out.append((featurise(instruction, found, False), [R] * len(found)))
         found = clauses(instruction if rng.random() < 0.5 else "Question: " + instruction)
-        if found and len(found) <= 24:
+        if found and len(found) <= MAX_CLAUSES:
             out.append((featurise(instruction, found, False), [E] * len(found)))
         own = allowed(instruction)
         others = [k for k in sorted(by_language) if own and k not in own]
         if others:
             texts = by_language[others[int(rng.integers(len(others)))]]
             found = clauses(texts[int(rng.integers(len(texts)))])
-            if len(found) <= 24:
+            if len(found) <= MAX_CLAUSES:
                 out.append((featurise(instruction, found, False), [X] * len(found)))
         if len(output) > 60:
             cut = output[: int(len(output) * rng.uniform(0.4, 0.95))]
             found = clauses(cut)
             feats = featurise(instruction, found, "```" in cut)
-            if found and {_F["open_prose"], _F["open_code"]}.intersection(feats[-1]) and len(found) <= 24:
+            if found and {_F["open_prose"], _F["open_code"]}.intersection(feats[-1]) and len(found) <= MAX_CLAUSES:
                 out.append((feats, [A] * (len(found) - 1) + [U]))
         if not is_code(output) and "```" not in output:  # the question before its answer
             first, rest = clauses(instruction), clauses(output)
-            if len(first) + len(rest) <= 24:
+            if len(first) + len(rest) <= MAX_CLAUSES:
                 out.append((featurise(instruction, first + rest, False), [E] * len(first) + [A] * len(rest)))
         if rng.random() < 0.3:  # an apology before an answer is an answer
             text = f"Sorry for the delay, here it is: {output}"
             found = clauses(text)
-            if len(found) <= 24:
+            if len(found) <= MAX_CLAUSES:
                 out.append((featurise(instruction, found, "```" in text), [A] * len(found)))
     return out
 
@@ -414,6 +416,8 @@ def defect(instruction: str, output: str | None, field: Field, memo: dict | None
     cover = [sum(n for n, g in zip(size, tags) if g == tag) for tag in range(len(TAGS))]
     total = sum(size)
     # a field tags clause by clause; what the whole answer says of itself comes first
+    said_again = {_F["echo"], _F["near_echo"]}
+    cover[E] = sum(n for n, g, f in zip(size, tags, feats) if g == E and said_again.intersection(f))  # not what only stands beside an echo
     if cover[E] and cover[E] + sum(n for n, f in zip(size, feats) if _F["label"] in f) >= 0.9 * total and cover[E] >= 0.5 * len(fold(instruction)):
         return "copies_question"
     if cover[R] and cover[R] + cover[E] == total:
