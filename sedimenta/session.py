@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -29,7 +30,10 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="sedimenta-"))
+        if not named:
+            own = tempfile.mkdtemp(prefix="sedimenta-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+        context.setCheckpointDir(named or own)
     return named or context._jsc.sc().getCheckpointDir().get()
 
 
