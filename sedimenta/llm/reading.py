@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.session import materialise
@@ -168,11 +168,19 @@ def _scaled(f: list, langs: list[str], standard: dict) -> np.ndarray:
     return out
 
 
+def _valid(labels: DataFrame) -> DataFrame:
+    return labels.filter(F.col("reading_level").between(1, LEVELS) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("key"), "reading_level")
+
+
+def _rated(measured: DataFrame, rated: DataFrame) -> DataFrame:
+    """The features of each rating's document, with ``h``, the hash of its key."""
+    return measured.filter("f is not null").join(rated, "key").withColumn("h", F.xxhash64("key"))
+
+
 def _ratings(measured: DataFrame, labels: DataFrame, most: int) -> pd.DataFrame:
-    rated = labels.filter(F.col("reading_level").between(1, LEVELS) & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("key"), "reading_level")
-    hashed = measured.filter("f is not null").join(rated, "key").withColumn("h", F.xxhash64("key"))
+    rated = _valid(labels)
     step = max(1, rated.count() // (8 * most))  # thins by hash first, so that tasks don't each send a whole sample
-    return hashed.filter(F.pmod("h", F.lit(step)) == 0).orderBy("h", "reading_level").limit(most).toPandas()
+    return _rated(measured, rated).filter(F.pmod("h", F.lit(step)) == 0).orderBy("h", "reading_level").limit(most).toPandas()
 
 
 def levels(documents: DataFrame, labels: DataFrame, max_ratings: int = MAX_RATINGS) -> DataFrame:
@@ -206,19 +214,33 @@ def profile(scored: DataFrame, documents: DataFrame) -> DataFrame:
 def accuracy(documents: DataFrame, labels: DataFrame, max_ratings: int = MAX_RATINGS, folds: int = 5) -> DataFrame:
     """(n_ratings, mean_error, exact_share, within_one_share, baseline_error) of held-out ratings by cross-validation.
 
-    Folds are of documents. The baseline answers with the most frequent level of the other folds.
+    Folds are of documents. Each fold's model is fitted on at most ``max_ratings`` of the other folds; every rating of the
+    fold is scored. The baseline answers with the most frequent level of the ratings fitted on.
     """
     measured = materialise(features(documents), "p9")
-    standard, rated = _standard(measured), _ratings(measured, labels, max_ratings)
-    x, y = _scaled(rated["f"].tolist(), rated["lang"].tolist(), standard), rated["reading_level"].to_numpy(dtype=int)
-    fold = (rated["h"].to_numpy(dtype=np.int64) % folds) if len(rated) else np.zeros(0, dtype=int)
-    guess, base = np.zeros(len(y)), np.zeros(len(y))
+    standard = _standard(measured)
+    rated = materialise(_rated(measured, _valid(labels)).withColumn("fold", F.pmod("h", F.lit(folds))), "p9")
+    step = max(1, rated.count() // (8 * max_ratings))
+    # thinned by another hash than the folds', of which a step that they divide would leave one; the first of each fold hold the first of any others
+    first = F.row_number().over(Window.partitionBy("fold").orderBy("h", "reading_level"))
+    sample = rated.filter(F.pmod(F.xxhash64("h"), F.lit(step)) == 0).withColumn("n", first).filter(F.col("n") <= max_ratings).orderBy("h", "reading_level").toPandas()
+    x, y = _scaled(sample["f"].tolist(), sample["lang"].tolist(), standard), sample["reading_level"].to_numpy(dtype=int)
+    models = {}
     for k in range(folds):
-        held = fold == k
-        if held.any() and not held.all():
-            guess[held] = np.clip(np.floor(Ordinal().fit(x[~held], y[~held]).expected(x[held]) + 0.5), 1, LEVELS)
-            base[held] = np.bincount(y[~held]).argmax()
-    off = np.abs(guess - y)
-    mean = lambda a: float(np.round(a.mean(), 4)) if len(a) else None
-    row = (len(y), mean(off), mean(off == 0), mean(off <= 1), mean(np.abs(base - y)))
-    return documents.sparkSession.createDataFrame([row], "n_ratings long, mean_error double, exact_share double, within_one_share double, baseline_error double")
+        others = np.flatnonzero(sample["fold"].to_numpy() != k)[:max_ratings]
+        if len(others):
+            models[k] = Ordinal().fit(x[others], y[others]), np.bincount(y[others]).argmax()
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            x, y, fold = _scaled(pdf["f"].tolist(), pdf["lang"].tolist(), standard), pdf["reading_level"].to_numpy(), pdf["fold"].to_numpy()
+            guess, base = np.zeros(len(y)), np.zeros(len(y))
+            for k, (model, usual) in models.items():
+                held = fold == k
+                guess[held] = np.clip(np.floor(model.expected(x[held]) + 0.5), 1, LEVELS)
+                base[held] = usual
+            yield pd.DataFrame({"off": np.abs(guess - y), "base_off": np.abs(base - y)})
+
+    mean = lambda c, name: F.bround(F.avg(c.cast("double")), 4).alias(name)
+    off = F.col("off")
+    return rated.mapInPandas(score, "off double, base_off double").agg(F.count("*").alias("n_ratings"), mean(off, "mean_error"), mean(off == 0, "exact_share"), mean(off <= 1, "within_one_share"), mean(F.col("base_off"), "baseline_error"))

@@ -107,6 +107,17 @@ def test_levels_without_ratings_or_documents(spark):
     assert reading.accuracy(docs, labels.limit(0)).first()["n_ratings"] == 0
 
 
+def test_accuracy_scores_every_rating_beyond_the_fitting_sample(spark):
+    docs, labels = reading_tables(spark)
+    whole = reading.accuracy(docs, labels).first()
+    for most in (40, 1):  # with 1 the sample is thinned to every 8th hash
+        r = reading.accuracy(docs, labels, max_ratings=most).first()
+        assert r["n_ratings"] == whole["n_ratings"] == 69
+        assert 0 <= r["exact_share"] <= r["within_one_share"] <= 1
+    r = reading.accuracy(docs, labels, max_ratings=40).first()
+    assert r["mean_error"] < 0.6 < r["baseline_error"]
+
+
 def test_profile(spark):
     docs, labels = reading_tables(spark)
     assert sum(r["n_docs"] for r in reading.profile(reading.levels(docs, labels), docs).collect()) == docs.count()
