@@ -70,8 +70,8 @@ def stats(df: DataFrame, column: str = "output", kept: int = 2) -> DataFrame:
     return counts.agg(total("n").alias("total_seen"), total(F.col("n") - 1).alias("repeats"), total(F.greatest(F.col("n") - kept, F.lit(0))).alias("dropped"), F.count("*").alias("distinct"))
 
 
-def duplicate_rows(df: DataFrame, order: str | None = None, first: int | None = 500_000) -> DataFrame:
-    """(n_rows, n_duplicates, duplicate_pct): rows less distinct rows among the ``first`` in ``order``, percent of all rows."""
+def duplicate_rows(df: DataFrame, order: str | None = None, first: int | None = None) -> DataFrame:
+    """(n_rows, n_duplicates, duplicate_pct): rows less distinct rows, percent of all rows; with ``first`` among the first in ``order`` only."""
     own = [c for c in df.columns if c != order]
     head = df.orderBy(order).limit(first) if first is not None and order else df
     keys = head.select(F.sha2(F.to_json(F.struct(*sorted(own)), {"ignoreNullFields": "false"}), 256).alias("k"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.operators import adapters, curate, dedup, formats, legacy, mixing, profile, tokenise
 from sedimenta.operators.bloom import BloomFilter, build
+from sedimenta.plans import catalogue
 from sedimenta.schema import CANONICAL, canonical
 
 
@@ -111,6 +112,13 @@ def test_deduplication_rules(spark):
     assert ids(dedup.unseen(df, seen, "response")) == [2]
 
 
+def test_duplicates_are_counted_in_the_whole_table(spark, tmp_path):
+    docs = spark.range(1, 500_003).select(F.col("id").alias("doc_id"), F.least("id", F.lit(500_001)).cast("string").alias("text"), F.lit("en").alias("lang"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")  # the two last rows are equal
+    assert tuple(catalogue.queries()["duplicate_rows"](spark, str(tmp_path)).first())[:2] == (500_002, 1)
+    assert tuple(dedup.duplicate_rows(docs, "doc_id", first=500_000).first())[:2] == (500_002, 0)
+
+
 def test_bloom_filter(spark):
     with pytest.raises(ValueError):
         BloomFilter(0)
