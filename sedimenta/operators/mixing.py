@@ -10,8 +10,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sedimenta.operators.dedup import occurrence
+
 log = logging.getLogger(__name__)
 STRATEGIES = ("approximate", "exact", "oversample")
+#: Largest limit for which Spark cuts each task's rows before the shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+LIMITED = 1_000
 
 
 @dataclass(frozen=True)
@@ -105,21 +109,26 @@ def approximate(df: DataFrame, c: MixConfig, source: str = "dataset", order: str
     return own.join(sizes, source).withColumn("_mix_at", uniform * F.col("_size") / F.col("_w")).drop("_w", "_size")
 
 
-def exact(df: DataFrame, targets: dict[str, int], source: str = "dataset", order: str = "ordinal") -> DataFrame:
-    """The first rows of each source, up to its target. The window keeps only a target's worth of rows per task."""
+def _ranked(df: DataFrame, targets: dict[str, int], source: str, order: str) -> DataFrame:
+    """The rows of the targets' sources with ``_rn``, their number within the source; numbers beyond all targets are missing.
+
+    Up to ``LIMITED`` the window keeps only a target's worth of rows per task; beyond it a source is numbered by blocks of
+    the order, so that no task takes a whole source.
+    """
     most = max(targets.values(), default=0)
-    w = Window.partitionBy(source).orderBy(order)
-    ranked = df.filter(F.col(source).isin(list(targets))).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most)
-    return ranked.filter(F.col("_rn") <= _by(source, targets, 0)).drop("_rn")
+    own = df.filter(F.col(source).isin(list(targets)))
+    return occurrence(own, F.col(source), order, "_rn", most if most <= LIMITED else None).filter(F.col("_rn") <= most)
+
+
+def exact(df: DataFrame, targets: dict[str, int], source: str = "dataset", order: str = "ordinal") -> DataFrame:
+    """The first rows of each source, up to its target."""
+    return _ranked(df, targets, source, order).filter(F.col("_rn") <= _by(source, targets, 0)).drop("_rn")
 
 
 def oversample(df: DataFrame, targets: dict[str, int], source: str = "dataset", order: str = "ordinal") -> DataFrame:
     """Each source's target of rows, its first rows, cycled where it is short; ``_mix_use`` counts a row's uses."""
-    most = max(targets.values(), default=0)
-    w = Window.partitionBy(source).orderBy(order)
-    own = df.filter(F.col(source).isin(list(targets)))
-    sizes = own.groupBy(source).agg(F.count("*").alias("_size"))  # a row per configured source
-    ranked = own.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= most).join(sizes, source)
+    sizes = df.filter(F.col(source).isin(list(targets))).groupBy(source).agg(F.count("*").alias("_size"))  # a row per configured source
+    ranked = _ranked(df, targets, source, order).join(sizes, source)
     goal = _by(source, targets, 0)
     return ranked.filter(F.col("_rn") <= goal).withColumn("_at", F.explode(F.sequence(F.col("_rn").cast("long"), goal.cast("long"), F.col("_size")))).withColumn("_mix_use", (F.expr("(_at - 1) div _size") + 1).cast("int")).drop("_rn", "_size", "_at")
 

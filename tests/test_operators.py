@@ -238,3 +238,14 @@ def test_profiles(spark):
 
 def test_canonical_schema_has_twelve_fields():
     assert len(CANONICAL.fields) == 12
+
+
+def test_large_targets_are_ranked_by_blocks(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SALT_ROWS", 500)
+    df = spark.range(1, 4_001).select(F.col("id").alias("ordinal"), F.when(F.col("id") % 4 == 0, "b").otherwise("a").alias("dataset"))
+    whole = {"a": [i for i in range(1, 4_001) if i % 4], "b": list(range(4, 4_001, 4))}
+    targets = {"a": 2_500, "b": 1_200}
+    exact, over = mixing.exact(df, targets), mixing.oversample(df, targets)
+    assert all("_block" in d._jdf.queryExecution().optimizedPlan().toString() for d in (exact, over))
+    assert sorted(r["ordinal"] for r in exact.collect()) == sorted(whole["a"][:2_500] + whole["b"])
+    assert sorted((r["ordinal"], r["_mix_use"]) for r in over.collect()) == sorted([(i, 1) for i in whole["a"][:2_500] + whole["b"]] + [(i, 2) for i in whole["b"][:200]])
