@@ -429,10 +429,10 @@ def defect(instruction: str, output: str | None, field: Field, memo: dict | None
 
 
 def trained(df: DataFrame, most: int = MAX_TRAINING) -> Field:
-    """A field trained on at most ``most`` pairs of ``df``, those of the smallest hash of instruction and output."""
+    """A field trained on at most ``most`` distinct pairs of ``df``, those of the smallest hash of instruction and output."""
     step = max(1, df.count() // (8 * most))  # thins by hash first, so that tasks don't each send a whole sample
     rows = df.select("instruction", "output").filter("instruction is not null and output is not null and length(output) between 20 and 4000").withColumn("h", F.xxhash64("instruction", "output"))
-    rows = rows.filter(F.pmod("h", F.lit(step)) == 0).orderBy("h", "instruction", "output").limit(most).collect()
+    rows = rows.filter(F.pmod("h", F.lit(step)) == 0).dropDuplicates(["instruction", "output"]).orderBy("h", "instruction", "output").limit(most).collect()
     return Field.train(examples([(r["instruction"], r["output"]) for r in rows]))
 
 

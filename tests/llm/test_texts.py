@@ -197,3 +197,13 @@ def test_training_on_damaged_copies_reaches_held_out_pairs(spark, data):
     f = defects.Field.train(train)
     right = sum(f.tag(list(x)) == list(t) for x, t in held)
     assert right / len(held) > 0.93
+
+
+def test_field_is_trained_on_distinct_pairs(spark, monkeypatch):
+    pairs = spark.range(30).select(F.concat(F.lit("Question "), "id").alias("instruction"), F.concat(F.lit("The answer to this one is "), "id").alias("output"))
+    first = pairs.orderBy(F.xxhash64("instruction", "output")).limit(1)
+    seen = []
+    monkeypatch.setattr(defects, "examples", lambda rows: seen.extend(rows) or [])
+    monkeypatch.setattr(defects.Field, "train", lambda rows: None)
+    defects.trained(pairs.unionByName(first.crossJoin(spark.range(100)).drop("id")), most=20)
+    assert len(seen) == len(set(seen)) == 20
