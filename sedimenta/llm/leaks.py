@@ -8,7 +8,7 @@ candidates are checked for a common run of words, and for paraphrases for a long
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -90,27 +90,33 @@ def vectors(passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
-def passages(documents: DataFrame, vocabulary: dict[str, int], key: str = "doc_id", text: str = "text") -> DataFrame:
+def passages(documents: DataFrame, vocabulary: dict[str, int], key: str = "doc_id", text: str = "text", weight: np.ndarray | None = None, least: float = 0.0) -> DataFrame:
     """(key, words) of each window with at least ``RUN`` words of the vocabulary; others share no run with an item.
 
-    A word outside the vocabulary is -1. The windows of a document start every ``RUN`` words and cover it whole.
+    A word outside the vocabulary is -1. The windows of a document start every ``RUN`` words and cover it whole. With
+    ``weight`` of the words the other windows instead, whose known words weigh ``least`` or more together, and shorter texts.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = documents.sparkSession.sparkContext.broadcast((vocabulary, None if weight is None else np.append(weight, 0).astype(np.float64)))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shared.value.get
+        get, weight = shared.value[0].get, shared.value[1]
+        shortest = RUN if weight is None else 1
         for pdf in batches:
             keys, found = [], []
             for k, x in zip(pdf[key], pdf[text]):
-                if x is None or len(x) < 2 * RUN - 1:
+                if x is None or len(x) < 2 * shortest - 1:
                     continue
                 codes = np.array([get(w, -1) for w in split_words(x)], dtype=np.int32)
-                if len(codes) < RUN:
+                if len(codes) < shortest:
                     continue
                 known = np.concatenate([[0], np.cumsum(codes >= 0)])
-                starts = np.arange(0, len(codes) - RUN + 1, RUN)
-                n = known[np.minimum(starts + WINDOW, len(codes))] - known[starts]
-                for s in starts[n >= RUN]:
+                starts = np.arange(0, max(1, len(codes) - RUN + 1), RUN)
+                ends = np.minimum(starts + WINDOW, len(codes))
+                kept = known[ends] - known[starts] >= RUN
+                if weight is not None:
+                    heavy = np.concatenate([[0], np.cumsum(weight[codes])])
+                    kept = ~kept & (heavy[ends] - heavy[starts] >= least)
+                for s in starts[kept]:
                     keys.append(k)
                     found.append(codes[s : s + WINDOW].tolist())
             yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "words": pd.Series(found, dtype=object)})
@@ -163,8 +169,12 @@ def basis(cut: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np
     return (q @ u[:, ::-1][:, : min(rank, q.shape[1])]).astype(np.float32)
 
 
-def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LEAST_COSINE, paraphrases: bool = False) -> DataFrame:
-    """(key, item_id, verbatim, cosine, lcs_share) of passages near a passage of an item."""
+def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LEAST_COSINE, paraphrases: bool = False, others: Callable[[np.ndarray, float], DataFrame] | None = None) -> DataFrame:
+    """(key, item_id, verbatim, cosine, lcs_share) of passages near a passage of an item.
+
+    ``others`` gives the passages besides ``cut`` whose known words weigh enough for a paraphrase; they are searched too,
+    but the weights and the space come from ``cut``.
+    """
     spark = cut.sparkSession
     n = cut.count()
     df = np.zeros(len(items.vocabulary))
@@ -178,7 +188,8 @@ def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LE
     padded = np.full((len(own), WINDOW), v, dtype=np.int32)
     for j, p in enumerate(own):
         padded[j, : len(p)] = p
-    shared = spark.sparkContext.broadcast((items, idf, space, unit(vectors(own, idf) @ space), padded, weight, weight[padded].sum(axis=1) * PARAPHRASE_LCS))
+    needed = weight[padded].sum(axis=1) * PARAPHRASE_LCS
+    shared = spark.sparkContext.broadcast((items, idf, space, unit(vectors(own, idf) @ space), padded, weight, needed))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items, idf, space, targets, padded, weight, needed = shared.value
@@ -209,7 +220,8 @@ def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LE
                                 out.append((keys[i], items.ids[o], False, float(cosine[i, j]), share))
                 yield pd.DataFrame(out, columns=["key", "item_id", "verbatim", "cosine", "lcs_share"])
 
-    return cut.mapInPandas(search, "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
+    searched = cut if others is None else cut.unionByName(others(idf, float(needed.min()) * (1 - 1e-5)))  # sums of single precision
+    return searched.mapInPandas(search, "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
 
 
 def _search(documents: DataFrame, benchmark: DataFrame, paraphrases: bool, key: str, rank: int, least: float) -> DataFrame:
@@ -221,7 +233,8 @@ def _search(documents: DataFrame, benchmark: DataFrame, paraphrases: bool, key:
         block = Items([(r["item_id"], r["text"]) for r in rows])
         if block.passages:
             cut = materialise(passages(documents, block.vocabulary, key), "p8")
-            out.append(candidates(cut, block, rank, least, paraphrases))
+            others = (lambda weight, light, block=block: passages(documents, block.vocabulary, key, weight=weight, least=light)) if paraphrases else None
+            out.append(candidates(cut, block, rank, least, paraphrases, others))
     if not out:
         return documents.sparkSession.createDataFrame([], "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
     return reduce(DataFrame.unionByName, out)

@@ -55,6 +55,15 @@ def test_paraphrases_and_answers(spark):
     assert got[1, 10] == ("verbatim", True) and got[20, 10][0] == "paraphrase" and got[1, 13][1] is None
 
 
+def test_paraphrases_of_few_known_words(spark):
+    words = [f"bolu{i}" for i in range(12)]
+    items = spark.createDataFrame([(1, " ".join(words), None)], "item_id long, text string, reference_answer string")
+    swapped = [w if i not in (3, 7) else f"new{i}" for i, w in enumerate(words)]
+    docs = [(1, " ".join(swapped)), (2, " ".join(words[:10])), (3, " ".join(["other"] * 30 + swapped + ["other"] * 30)), (4, " ".join(words[:8])), (5, "other words")]
+    got = {(r["doc_id"], r["item_id"]): r["kind"] for r in leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {(i, 1): "paraphrase" for i in (1, 2, 3)}
+
+
 def test_leaks_of_nothing(spark):
     docs, items = leak_tables(spark)
     assert leaks.found(docs.limit(0), items).collect() == [] and leaks.found(docs, items.limit(0)).collect() == []
