@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sedimenta.llm.graph import components
 from sedimenta.session import materialise
 
 #: A line ``Name: value``; a list marker may precede the one-word name.
@@ -88,10 +89,16 @@ def identifiers(df: DataFrame, order: str = "ordinal", instruction: str = "instr
     looks_json = (F.col("field") == 1) & F.col("value").rlike(r"^\s*\{[\s\S]*\}\s*$")
     plain_form, free_form = digest(reduced(F.col("value"))), F.when(F.col("field") == 0, field_lines(F.col("value"))).otherwise(_json_forms(F.when(looks_json, F.col("value"))))
     forms = materialise(values.select("field", digest(F.col("value")).alias("digest"), "first", plain_form.alias("plain"), digest(free_form).alias("free")), "p1")  # read four times
-    # values with the same letters and digits fall together; through ``free`` so do the reordered ones
-    plain = forms.groupBy("field", "plain").agg(F.min("free").alias("free"), F.min("first").alias("first")).withColumn("form", F.coalesce("free", "plain"))
-    ids = plain.groupBy("field", "form").agg(F.min("first").alias("id"))
-    dictionary = forms.select("field", "digest", "plain").join(plain.select("field", "plain", "form"), ["field", "plain"]).join(ids, ["field", "form"]).select("field", "digest", "id")
+    # values with the same letters and digits (plain) or the same lines or members in any order (free) fall together; few
+    # values have a free form, and only a plain form with several of them links one free form to another
+    node = lambda c: F.concat(F.when(F.col("field") == 0, F.lit(bytearray(b"i"))).otherwise(F.lit(bytearray(b"o"))), F.col(c))
+    edges = forms.filter("free is not null").select("field", "plain", node("free").alias("v")).distinct()
+    heads = edges.groupBy("field", "plain").agg(F.min("v").alias("head"), F.count("*").alias("n"))
+    joins = components(edges.join(heads.filter("n > 1"), ["field", "plain"]).select(F.col("head").alias("u"), "v"))
+    group = heads.join(joins, F.col("head") == F.col("v"), "left").select("field", "plain", F.coalesce("u", "head").alias("group"))
+    plain = forms.groupBy("field", "plain").agg(F.min("first").alias("first")).join(group, ["field", "plain"], "left").select("field", "plain", "first", F.coalesce("group", node("plain")).alias("form"))
+    ids = plain.groupBy("form").agg(F.min("first").alias("id"))
+    dictionary = forms.select("field", "digest", "plain").join(plain.select("field", "plain", "form"), ["field", "plain"]).join(ids, "form").select("field", "digest", "id")
     tuples = rows.select("ordinal", digest(F.col("i")).alias("di"), digest(F.col("o")).alias("do"))
     di = dictionary.filter("field = 0").select(F.col("digest").alias("di"), F.col("id").alias("instruction_id"))
     do = dictionary.filter("field = 1").select(F.col("digest").alias("do"), F.col("id").alias("output_id"))

@@ -46,6 +46,9 @@ class Packer:
 
     def add(self, size: int) -> int:
         fits = self.bits >> size
+        if size == self.capacity and not fits:  # closes at once: no open container has to make room
+            self.n_bins += 1
+            return self.n_bins - 1
         if fits:
             free = size + (fits & -fits).bit_length() - 1
             number = self._take(free)

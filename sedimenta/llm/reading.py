@@ -48,7 +48,7 @@ def language(lang: Column) -> Column:
 def rarities(documents: DataFrame, text: str = "text") -> np.ndarray:
     """-log of the share of each counter in all words of the corpus; an unseen counter has the largest value."""
     words = documents.select(F.explode(F.split(F.lower(F.regexp_replace(F.col(text), r"```[\s\S]*?(?:```|\z)", " ")), r"[^\p{L}]+")).alias("w")).filter("w <> ''")
-    rows = words.groupBy("w").agg(F.count("*").alias("n")).groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("at")).agg(F.sum("n").alias("n")).toPandas()
+    rows = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("at")).agg(F.count("*").alias("n")).toPandas()
     counts = np.full(BUCKETS, 0.5)
     counts[rows["at"].to_numpy(dtype=np.int64)] += rows["n"].to_numpy(dtype=np.float64)
     return (math.log(counts.sum()) - np.log(counts)).astype(np.float32)

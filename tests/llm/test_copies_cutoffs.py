@@ -1,4 +1,5 @@
 import random
+import re
 
 import duckdb
 import pandas as pd
@@ -6,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.llm import copies, cutoffs
+from sedimenta.llm.graph import components
 
 ROWS = [
     (1, "Write A!", "def f(): pass"),
@@ -43,6 +45,44 @@ def test_order_free_forms_reach_through_plain_ones(spark):
     assert pairs(copies.found(spark.createDataFrame(rows, SCHEMA))) == [(1, 2), (1, 3), (1, 4)]
 
 
+def test_forms_linked_by_several_line_splits(spark):
+    rows = [(1, "a: b\nc: def", "x"), (2, "a: bcd\ne: f", "x"), (3, "e: f\na: bcd", "x"), (4, "c: def\na: b", "x")]
+    assert pairs(copies.found(spark.createDataFrame(rows, SCHEMA))) == [(1, 2), (1, 3), (1, 4)]
+
+
+def brute_pairs(rows):
+    """Groups by repeated merging of all rows that share a form of both columns."""
+    forms = lambda x, free: {re.sub(r"[\W_]+", "", x.lower())} | ({free(x)} if free(x) else set())
+    lines = lambda x: "|".join(sorted(re.sub(r"[\W_]+", "", y.lower()) for y in x.split("\n"))) if x.count("\n") and all(re.match(r"\w+: \S", y) for y in x.split("\n")) else None
+    group = {o: o for o, _, _ in rows}
+    for _ in rows:
+        for o, i, _ in rows:
+            for p, j, _ in rows:
+                if forms(i, lines) & forms(j, lines):
+                    group[o] = group[p] = min(group[o], group[p])
+    return sorted((g, o) for o, g in group.items() if g != o)
+
+
+def test_forms_equal_brute_force(spark):
+    r = random.Random(3)
+    rows = []
+    for i in range(60):
+        letters = r.choice(["abcdef", "abcdfe", "efabcd", "defabc"])
+        cuts = sorted(r.sample(range(1, 6), 3))
+        a, b, c, d = (letters[x:y] for x, y in zip([0, *cuts], [*cuts, 6]))
+        rows.append((i, f"{a}: {b}\n{c}: {d}" if r.random() < 0.8 else letters, "x"))
+    assert pairs(copies.found(spark.createDataFrame(rows, SCHEMA))) == brute_pairs(rows)
+
+
+def test_components_of_a_path_a_star_and_a_ring(spark):
+    path = [(i, i + 1) for i in range(40)]
+    star = [(100, i) for i in range(101, 140)]
+    ring = [(200 + i, 200 + (i + 1) % 7) for i in range(7)]
+    random.Random(1).shuffle(path)
+    got = dict((v, u) for u, v in (tuple(x) for x in components(spark.createDataFrame(path + star + ring + [(300, 300)], "u long, v long")).collect()))
+    assert got == {**{i: 0 for i in range(1, 41)}, **{i: 100 for i in range(101, 140)}, **{i: 200 for i in range(201, 207)}}
+
+
 def test_collapse_counts_copies(spark):
     got = dict(pairs(copies.collapse(spark.createDataFrame(ROWS, SCHEMA))))
     assert got[1] == 3 and got[3] == 2 and sum(got.values()) == 13
