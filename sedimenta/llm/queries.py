@@ -36,6 +36,7 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": lambda s, d: copies.found(table(s, d, "canonical_examples")),
         "p1_collapsed": lambda s, d: copies.collapse(table(s, d, "canonical_examples")),
+        "p2_kept": lambda s, d: cutoffs.kept(table(s, d, "canonical_examples"), table(s, d, "keep_targets")),
         "p2_cutoffs": lambda s, d: cutoffs.cutoffs(table(s, d, "canonical_examples"), table(s, d, "keep_targets")),
         "p3_slice_tokens": lambda s, d: budget.slice_tokens(_texts(s, d)),
         "p3_row_tokens": lambda s, d: budget.row_tokens(_texts(s, d)),
@@ -66,4 +67,4 @@ _P7_TEXT_SQL = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p2_cutoffs": cutoffs.SQL, "p4_mix_shares": mixing.SHARES_SQL, "p7_decoded": _P7_TEXT_SQL, "p8_found": _P8_SQL}
+    return {"p2_kept": cutoffs.KEPT_SQL, "p2_cutoffs": cutoffs.SQL, "p4_mix_shares": mixing.SHARES_SQL, "p7_decoded": _P7_TEXT_SQL, "p8_found": _P8_SQL}

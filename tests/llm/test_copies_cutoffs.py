@@ -130,6 +130,18 @@ def test_cutoffs_equal_brute_force(spark, partitions):
     assert (got["ghost"]["n_rows"], got["ghost"]["cutoff"], got["ghost"]["n_kept"]) == (0, None, 0)
 
 
+def test_kept_rows_are_those_the_cutoffs_count(spark):
+    rows = [(i, d, s) for i, (d, s) in enumerate([("a", 1.0), ("A", 2.0), ("a", 3.0), ("a", None), ("b", 1.0), (None, 0.5), ("b", float("nan"))])]
+    df = spark.createDataFrame([(*x, "z") for x in rows] + [(None, "a", 3.0, "z")], "ordinal long, dataset string, quality_score double, cutoff string")
+    goals = spark.createDataFrame([("a", 0.5), ("b", 0.9), ("ghost", 0.1)], "dataset string, target_fraction double")
+    got = sorted(((r["ordinal"], r["dataset"], r["kept"]) for r in cutoffs.kept(df, goals).collect()), key=str)
+    assert got == sorted([(0, "a", False), (1, "a", False), (2, "a", True), (3, "a", False), (4, "b", True), (5, "unknown", None), (6, "b", False), (None, "a", True)], key=str)
+    assert cutoffs.kept(df.limit(0), goals).collect() == []
+    assert {r["kept"] for r in cutoffs.kept(df, goals.limit(0)).collect()} == {None}
+    counts = {r["dataset"]: r["n_kept"] for r in cutoffs.cutoffs(df, goals).collect()}
+    assert counts == {"a": 2, "b": 1, "ghost": 0, "unknown": None}
+
+
 def test_cutoffs_without_rows_targets_or_scores(spark):
     rows, goals = spark.createDataFrame([("a", None), ("a", float("nan"))], "dataset string, quality_score double"), spark.createDataFrame([("a", 0.5)], "dataset string, target_fraction double")
     r = cutoffs.cutoffs(rows, goals).first()
