@@ -19,8 +19,41 @@ from pyspark.sql import functions as F
 from sedimenta.llm.cutoffs import source_name
 from sedimenta.session import materialise
 
-#: Most blocks that a tree divides; numpy's hypergeometric draw takes fewer than 1e9.
-MAX_BLOCKS = 500_000_000
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, sample: int) -> int:
+    """How many of ``sample`` draws without replacement are good, for populations of any size.
+
+    numpy draws from populations below 1e9; larger ones are drawn by ratio of uniforms under the universal hat for
+    log-concave counts (Stadlober 1990), with the probabilities from log-gamma.
+    """
+    size = good + bad
+    if size < 1_000_000_000:
+        return int(rng.hypergeometric(good, bad, sample))
+    if not bad or not good:
+        return sample if not bad else 0
+    if sample in (0, size):
+        return good if sample else 0
+    lo, hi = max(0, sample - bad), min(good, sample)
+    weight = lambda k: -(math.lgamma(k + 1) + math.lgamma(good - k + 1) + math.lgamma(sample - k + 1) + math.lgamma(bad - sample + k + 1))
+    mean = sample * good / size
+    spread = 1.7155277699214135 * math.sqrt(mean * bad / size * (size - sample) / (size - 1) + 0.5) + 0.8989161620588988
+    top = weight(min(hi, max(lo, int((sample + 1) * (good + 1) / (size + 2)))))
+    while True:
+        u, v = rng.random(2)
+        k = math.floor(mean + 0.5 + spread * (v - 0.5) / u) if u else -1
+        if lo <= k <= hi and 2 * math.log(u) <= weight(k) - top:
+            return k
+
+
+def split_counts(rng: np.random.Generator, counts: np.ndarray, sample: int) -> np.ndarray:
+    """A multivariate hypergeometric draw: how many of ``sample`` draws fall on each of ``counts``."""
+    if int(counts.sum()) < 1_000_000_000:
+        return rng.multivariate_hypergeometric(counts, sample, method="marginals")
+    out, rest = np.zeros_like(counts), int(counts.sum())
+    for i, n in enumerate(counts.tolist()):
+        rest -= n
+        out[i] = hypergeometric(rng, n, rest, sample)
+        sample -= int(out[i])
+    return out
 
 
 class Tree:
@@ -36,7 +69,7 @@ class Tree:
             half, total = (lo + hi) // 2 - lo, int(counts.sum())
             share = total * half // (hi - lo)
             rng = np.random.default_rng([self.seed & 0xFFFFFFFF, lo, hi])
-            self.nodes[lo, hi] = rng.multivariate_hypergeometric(counts, share, method="marginals") if total else counts * 0
+            self.nodes[lo, hi] = split_counts(rng, counts, share) if total else counts * 0
         return self.nodes[lo, hi]
 
     def place(self, source: int, positions: np.ndarray) -> np.ndarray:
@@ -55,11 +88,11 @@ class Tree:
         return out
 
 
-def plan(configs: list[dict], ratios: list[dict], available: dict[str, int], shard_rows: int = 50_000) -> list[dict]:
+def plan(configs: list[dict], ratios: list[dict], available: dict[str, int], shard_rows: int = 50_000, block: int = 1) -> list[dict]:
     """One entry for each mix and source: share, available, quota, shards. Configuration-sized, made on the driver.
 
     Shares are the ratios divided by their sum over the mix. The quota is the share of the total, rounded half to even,
-    and at most ``available * max_repeats``. With a null total every row of each source of positive ratio is used once.
+    and at most ``available * max_repeats``. Shards draw blocks of ``block`` rows. With a null total every row of each source of positive ratio is used once.
     Null, NaN or negative ratios count as 0; a source named twice has the sum; a null ``max_repeats`` is 1.
     """
     out = []
@@ -77,7 +110,7 @@ def plan(configs: list[dict], ratios: list[dict], available: dict[str, int], sha
             wanted = (n if share > 0 else 0) if c["total_examples"] is None else round(share * c["total_examples"])
             rows.append({"mix_id": c["mix_id"], "dataset": name, "target_share": share, "available": n, "wanted": wanted, "quota": min(wanted, n * repeats), "seed": c["seed"] or 0})
         total = sum(r["quota"] for r in rows)
-        shards, block = max(1, -(-total // shard_rows)), max(1, -(-total // MAX_BLOCKS))
+        shards = max(1, -(-total // shard_rows))
         out += [r | {"source_no": i, "shards": shards, "block": block} for i, r in enumerate(rows)]
     return out
 
@@ -90,6 +123,14 @@ def _plan(df: DataFrame, configs: DataFrame, ratios: DataFrame, shard_rows: int)
     return plan([r.asDict() for r in configs.collect()], own, available, shard_rows), rows
 
 
+def threshold(quota: int, available: int) -> int:
+    """A 64-bit hash below which nearly surely at least ``quota`` of ``available`` uniform hashes lie."""
+    if quota >= available:
+        return (1 << 63) - 1
+    share = (quota + 8 * math.sqrt(quota) + 32) / available
+    return (1 << 63) - 1 if share >= 1 else int(share * (1 << 64)) - (1 << 63)
+
+
 def mixed(df: DataFrame, configs: DataFrame, ratios: DataFrame, shard_rows: int = 50_000) -> DataFrame:
     """(mix_id, shard, pos, ordinal, dataset, use_no): the rows of each mix, shard by shard, shuffled within a shard.
 
@@ -99,12 +140,8 @@ def mixed(df: DataFrame, configs: DataFrame, ratios: DataFrame, shard_rows: int
     spark = df.sparkSession
     entries, rows = _plan(df, configs, ratios, shard_rows)
     used = [e for e in entries if e["quota"] > 0]
-    schema = "mix_id int, dataset string, available long, quota long, seed int"
-    wanted = spark.createDataFrame([(e["mix_id"], e["dataset"], e["available"], e["quota"], e["seed"]) for e in used], schema)
+    schema = "mix_id int, dataset string, available long, quota long, seed int, most long"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # random order of each mix and source: range sort, so that no source has to fit into a task
-    keyed = rows.join(F.broadcast(wanted), "dataset").withColumn("h", F.xxhash64(F.col("seed"), F.lit("mix"), F.col("mix_id"), F.col("ordinal")))
-    ordered = keyed.repartitionByRange(n, "mix_id", "dataset", "h", "ordinal").sortWithinPartitions("mix_id", "dataset", "h", "ordinal")
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -117,8 +154,20 @@ def mixed(df: DataFrame, configs: DataFrame, ratios: DataFrame, shard_rows: int
                 seen[key] = seen.get(key, 0) + len(index)
             yield pdf.assign(part=part, local=local)
 
-    numbered = materialise(ordered.mapInPandas(number, "dataset string, ordinal long, mix_id int, available long, quota long, seed int, h long, part int, local long"), "p4")
-    sums = numbered.groupBy("mix_id", "dataset", "part").agg(F.count("*").alias("n"))
+    whole: set[tuple] = set()
+    while True:
+        # a quota below its source takes the smallest hashes: others are left out by a threshold with room to spare
+        wanted = spark.createDataFrame([(e["mix_id"], e["dataset"], e["available"], e["quota"], e["seed"], (1 << 63) - 1 if (e["mix_id"], e["dataset"]) in whole else threshold(e["quota"], e["available"])) for e in used], schema)
+        keyed = rows.join(F.broadcast(wanted), "dataset").withColumn("h", F.xxhash64(F.col("seed"), F.lit("mix"), F.col("mix_id"), F.col("ordinal"))).filter("h <= most").drop("most")
+        # random order of each mix and source: range sort, so that no source has to fit into a task
+        ordered = keyed.repartitionByRange(n, "mix_id", "dataset", "h", "ordinal").sortWithinPartitions("mix_id", "dataset", "h", "ordinal")
+        numbered = materialise(ordered.mapInPandas(number, "dataset string, ordinal long, mix_id int, available long, quota long, seed int, h long, part int, local long"), "p4")
+        sums = materialise(numbered.groupBy("mix_id", "dataset", "part").agg(F.count("*").alias("n")), "p4")
+        got = {(r["mix_id"], r["dataset"]): r["n"] for r in sums.groupBy("mix_id", "dataset").agg(F.sum("n").alias("n")).collect()}  # a row per mix and source
+        short = {(e["mix_id"], e["dataset"]) for e in used if got.get((e["mix_id"], e["dataset"]), 0) < min(e["quota"], e["available"])}
+        if not short - whole:
+            break
+        whole |= short  # too few below the threshold: once more with all rows of these
     before = sums.select("mix_id", "dataset", "part", F.coalesce(F.sum("n").over(Window.partitionBy("mix_id", "dataset").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     ranked = numbered.join(before, ["mix_id", "dataset", "part"]).withColumn("rank", F.col("before") + F.col("local")).filter("rank < quota")
     uses = ranked.select("mix_id", "dataset", "ordinal", "h", "available", F.explode(F.sequence(F.col("rank"), F.col("quota") - 1, F.col("available"))).alias("position"))

@@ -100,7 +100,7 @@ def test_mixes_of_nothing(spark):
 
 
 def test_blocks_keep_quotas_exact():
-    entries = mixing.plan([{"mix_id": 1, "total_examples": 1_500_000_000, "max_repeats": 1, "seed": 1}], [{"mix_id": 1, "dataset": d, "ratio": 1.0} for d in "ab"], {"a": 10**10, "b": 10**10})
+    entries = mixing.plan([{"mix_id": 1, "total_examples": 1_500_000_000, "max_repeats": 1, "seed": 1}], [{"mix_id": 1, "dataset": d, "ratio": 1.0} for d in "ab"], {"a": 10**10, "b": 10**10}, block=3)
     assert [e["quota"] for e in entries] == [750_000_000] * 2 and entries[0]["block"] == 3
     tree = mixing.Tree([e["quota"] for e in entries], 1000, 1, 3)
     assert set(tree.place(0, np.array([0, 749_999_999]))) <= set(range(1000))
@@ -142,3 +142,35 @@ def test_packing_nothing_and_items(spark, enc):
     assert none.collect() == []
     caps = spark.createDataFrame([(1, 8)], "capacity_id int, capacity_tokens int")
     assert tuple(packing.fill(none, caps).first()) == (1, 8, 0, 0, 0.0)
+
+
+def test_large_populations_are_drawn_alike():
+    rng = np.random.default_rng(4)
+    draws = np.array([mixing.hypergeometric(rng, 3 * 10**11, 7 * 10**11, 10**6) for _ in range(4000)])
+    assert abs(draws.mean() - 300_000) < 4 * 458 / 60 and 0.93 < draws.std() / 458.26 < 1.07
+    small = np.array([mixing.hypergeometric(rng, 2, 5 * 10**9, 25 * 10**8) for _ in range(4000)])
+    assert np.allclose(np.bincount(small, minlength=3) / 4000, [0.25, 0.5, 0.25], atol=0.04)
+    assert [mixing.hypergeometric(rng, g, b, n) for g, b, n in ((0, 10**10, 5), (10**10, 0, 5), (10**10, 3, 0), (10**10, 3, 10**10 + 3))] == [0, 5, 0, 10**10]
+
+
+def test_trees_beyond_a_billion_blocks_keep_quotas():
+    quotas = [6 * 10**9, 3 * 10**9, 7]
+    tree = mixing.Tree(quotas, 4, 3)
+    shards = [tree.place(s, np.array([0, q // 2, q - 1])) for s, q in enumerate(quotas)]
+    left = tree.left(0, 4, tree.blocks)
+    assert left.sum() == sum(quotas) // 2 and (left <= tree.blocks).all() and all(((0 <= x) & (x < 4)).all() for x in shards)
+
+
+def test_a_small_quota_of_a_large_source_takes_the_smallest_hashes(spark, monkeypatch):
+    df = spark.range(20_000).select(F.col("id").alias("ordinal"), F.lit("a").alias("dataset"))
+    configs = spark.createDataFrame([(1, "m", "exact", 50, 1, 5)], "mix_id int, mix_name string, strategy string, total_examples long, max_repeats int, seed int")
+    ratios = spark.createDataFrame([(1, "a", 1.0)], "mix_id int, dataset string, ratio double")
+    want = sorted(r["ordinal"] for r in mixing.mixed(df, configs, ratios).collect())
+    assert len(want) == 50 == len(set(want)) and mixing.threshold(50, 20_000) < (1 << 63) - 1
+    monkeypatch.setattr(mixing, "threshold", lambda q, n: -(1 << 63))  # none below: once more with all rows
+    assert sorted(r["ordinal"] for r in mixing.mixed(df, configs, ratios).collect()) == want
+
+
+def test_an_item_of_the_capacity_closes_no_open_container():
+    p = packing.Packer(100, 2)
+    assert [p.add(x) for x in (60, 70, 100, 40, 30)] == [0, 1, 2, 0, 1] and p.n_bins == 3
