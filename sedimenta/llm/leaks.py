@@ -28,10 +28,13 @@ ITEM_STEP = 4
 RANK, OVERSAMPLE = 96, 16
 #: Least cosine of a candidate; low, as an exact check follows.
 LEAST_COSINE = 0.3
-#: Items searched for at once; more are worked through in blocks.
-ITEMS_PER_BLOCK = 5_000
-#: A paraphrase has at least this cosine and this share of an item passage's words, weighted by rarity, in order.
-PARAPHRASE_COSINE, PARAPHRASE_LCS = 0.8, 0.75
+#: Words of the items searched for at once; bounds what a task holds. The result is the same for any number of blocks.
+WORDS_PER_BLOCK = 40_000
+#: Most distinct words of all items together: they, and a vector for each, are held by the driver and every task.
+MAX_VOCABULARY = 1_000_000
+#: A paraphrase has at least this cosine and this share of an item passage's words, weighted by rarity, in order;
+#: a smaller share is enough where the item's reference answer stands in the document too.
+PARAPHRASE_COSINE, PARAPHRASE_LCS, ANSWERED_LCS = 0.8, 0.75, 0.6
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -41,25 +44,25 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(text.casefold())
 
 
-class Items:
-    """A block of evaluation items: vocabulary, passages and runs. As large as the block's texts."""
+class Block:
+    """Some of the evaluation items, as codes of the vocabulary: passages, and the items that hold each run."""
 
-    def __init__(self, rows: list) -> None:
-        self.vocabulary: dict[str, int] = {}
-        self.ids, self.words, passages, owners = [], [], [], []
-        for item_id, text in rows:
-            codes = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in split_words(text or "")], dtype=np.int32)
-            self.ids.append(item_id)
-            self.words.append(codes)
-            for at in range(0, max(1, len(codes) - RUN + 1), ITEM_STEP):
-                if len(codes[at : at + WINDOW]):
-                    passages.append(codes[at : at + WINDOW])
-                    owners.append(len(self.ids) - 1)
-        self.passages, self.owners = passages, np.array(owners, dtype=np.int64)
+    def __init__(self, rows: list[tuple[int, np.ndarray]]) -> None:
+        self.ids, self.passages, owners = [], [], []
         self.by_run: dict[bytes, list[int]] = {}
-        for owner, codes in enumerate(self.words):
+        for owner, (item_id, codes) in enumerate(rows):
+            self.ids.append(item_id)
+            for p in item_passages(codes):
+                self.passages.append(p)
+                owners.append(owner)
             for run in runs(codes):
                 self.by_run.setdefault(run, []).append(owner)
+        self.owners = np.array(owners, dtype=np.int64)
+
+
+def item_passages(codes: np.ndarray) -> list[np.ndarray]:
+    """Overlapping windows of an item, one every ``ITEM_STEP`` words."""
+    return [codes[at : at + WINDOW] for at in range(0, max(1, len(codes) - RUN + 1), ITEM_STEP) if len(codes[at : at + WINDOW])]
 
 
 def runs(codes: np.ndarray) -> set[bytes]:
@@ -78,16 +81,33 @@ def common_subsequence(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> floa
     return float(row[-1])
 
 
-def vectors(passages: list[np.ndarray], idf: np.ndarray) -> np.ndarray:
-    """Rows of unit TF-IDF vectors; a passage without known words gives a zero row."""
-    lengths = np.array([len(p) for p in passages], dtype=np.int64)
-    flat = np.concatenate(passages) if len(passages) else np.zeros(0, np.int32)
-    row = np.repeat(np.arange(len(passages)), lengths)
-    out = np.zeros((len(passages), len(idf)), dtype=np.float32)
-    np.add.at(out, (row[flat >= 0], flat[flat >= 0]), 1.0)
-    out *= idf
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+class Sparse:
+    """Unit TF-IDF vectors of passages in rows of (code, value); a passage without known words has no entries."""
+
+    def __init__(self, passages: list[np.ndarray], idf: np.ndarray) -> None:
+        self.n = len(passages)
+        flat = np.concatenate(passages).astype(np.int64) if self.n else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(self.n), [len(p) for p in passages])
+        at, count = np.unique(row[flat >= 0] * len(idf) + flat[flat >= 0], return_counts=True)
+        self.row, self.code = at // max(1, len(idf)), at % max(1, len(idf))
+        value = idf[self.code] * count
+        norm = np.sqrt(np.bincount(self.row, value * value, self.n))
+        self.value = (value / np.where(norm > 0, norm, 1)[self.row]).astype(np.float32)
+
+    def times(self, m: np.ndarray) -> np.ndarray:
+        """The vectors times a matrix with a row per code."""
+        out = np.zeros((self.n, m.shape[1]), dtype=np.float32)
+        rows, first = np.unique(self.row, return_index=True)
+        if len(rows):
+            out[rows] = np.add.reduceat(m[self.code] * self.value[:, None], first, axis=0)
+        return out
+
+    def add_transposed(self, m: np.ndarray, total: np.ndarray) -> None:
+        """Adds the transposed vectors times a matrix with a row per passage to ``total``."""
+        order = np.argsort(self.code, kind="stable")
+        codes, first = np.unique(self.code[order], return_index=True)
+        if len(codes):
+            total[codes] += np.add.reduceat(m[self.row[order]] * self.value[order, None], first, axis=0)
 
 
 def passages(documents: DataFrame, vocabulary: dict[str, int], key: str = "doc_id", text: str = "text", weight: np.ndarray | None = None, least: float = 0.0) -> DataFrame:
@@ -124,147 +144,204 @@ def passages(documents: DataFrame, vocabulary: dict[str, int], key: str = "doc_i
     return documents.select(F.col(key).cast("long").alias(key), F.col(text)).filter(F.col(key).isNotNull() & F.col(text).isNotNull()).mapInPandas(cut, "key long, words array<int>")
 
 
-def _sums(cut: DataFrame, part, width: int) -> np.ndarray:
-    """Sum over all passages of ``part(passages) -> matrix with width columns``, added up in the cluster by row blocks."""
+def _sums(cut: DataFrame, part: Callable[[Sparse, np.ndarray], None], idf: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """What ``part(vectors, total)`` adds up over all passages, in each task and then in the cluster by row blocks."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = None
+        total = np.zeros(shape)
         for pdf in batches:
             for at in range(0, len(pdf), 2_000):
-                m = part([np.asarray(w) for w in pdf["words"].iloc[at : at + 2_000]])
-                total = m if total is None else total + m
-        if total is not None:
-            for at in range(0, len(total), 256):
-                yield pd.DataFrame({"at": [at], "m": [total[at : at + 256].astype(np.float64).tobytes()]})
+                part(Sparse([np.asarray(w) for w in pdf["words"].iloc[at : at + 2_000]], idf), total)
+        for at in range(0, len(total), 256):
+            if total[at : at + 256].any():
+                yield pd.DataFrame({"at": [at], "m": [total[at : at + 256].tobytes()]})
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"at": pdf["at"].iloc[:1], "m": [sum(np.frombuffer(m) for m in pdf["m"]).tobytes()]})
 
+    out = np.zeros(shape)
     # rows are as many as tasks and blocks of the vocabulary, not as passages
-    rows = cut.mapInPandas(sketch, "at int, m binary").groupBy("at").applyInPandas(add, "at int, m binary").collect()
-    return np.concatenate([np.frombuffer(r["m"]).reshape(-1, width) for r in sorted(rows, key=lambda r: r["at"])]) if rows else np.zeros((0, width))
+    for r in cut.mapInPandas(sketch, "at int, m binary").groupBy("at").applyInPandas(add, "at int, m binary").collect():
+        out[r["at"] : r["at"] + 256] = np.frombuffer(r["m"]).reshape(-1, shape[1])
+    return out
 
 
-def basis(cut: DataFrame, items: Items, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Right singular vectors (vocabulary x rank) of all passages, of documents and items, by a randomised SVD."""
+def basis(cut: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """Right singular vectors (vocabulary x rank) of all passages in ``cut`` by a randomised SVD."""
     v, width = len(idf), min(rank + OVERSAMPLE, len(idf))
     omega = np.random.default_rng(20_117).standard_normal((v, width)).astype(np.float32)
-
-    def power(found: list[np.ndarray]) -> np.ndarray:
-        a = vectors(found, idf)
-        return a.T @ (a @ omega)
-
-    own = vectors(items.passages, idf)
-    sketched = _sums(cut, power, width)
-    q, _ = np.linalg.qr((sketched if len(sketched) else 0) + own.T @ (own @ omega))
+    q, _ = np.linalg.qr(_sums(cut, lambda a, total: a.add_transposed(a.times(omega), total), idf, (v, width)))
     q = q.astype(np.float32)
 
-    def gram(found: list[np.ndarray]) -> np.ndarray:
-        b = vectors(found, idf) @ q
-        return b.T @ b
+    def gram(a: Sparse, total: np.ndarray) -> None:
+        b = a.times(q)
+        total += b.T @ b
 
-    b = own @ q
-    grams = _sums(cut, gram, q.shape[1])
-    _, u = np.linalg.eigh((grams if len(grams) else 0) + b.T @ b)
+    _, u = np.linalg.eigh(_sums(cut, gram, idf, (q.shape[1], q.shape[1])))
     return (q @ u[:, ::-1][:, : min(rank, q.shape[1])]).astype(np.float32)
 
 
-def candidates(cut: DataFrame, items: Items, rank: int = RANK, least: float = LEAST_COSINE, paraphrases: bool = False, others: Callable[[np.ndarray, float], DataFrame] | None = None) -> DataFrame:
-    """(key, item_id, verbatim, cosine, lcs_share) of passages near a passage of an item.
+def _codes(texts: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
+    """(item_id, words) of whole items as codes."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"item_id": pdf["item_id"], "words": [[shared.value[w] for w in split_words(x)] for x in pdf["text"]]})
+
+    return texts.mapInPandas(encode, "item_id long, words array<int>")
+
+
+def _vocabulary(texts: DataFrame) -> dict[str, int]:
+    """Codes of the distinct words of all items; their number is checked before any reaches the driver."""
+
+    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"w": sorted({w for x in pdf["text"] for w in split_words(x)})}, dtype=object)
+
+    distinct = materialise(texts.mapInPandas(words, "w string").distinct(), "p8")
+    if (n := distinct.count()) > MAX_VOCABULARY:
+        raise ValueError(f"the items have {n} distinct words, more than {MAX_VOCABULARY}: search for them in several calls")
+    return {w: i for i, w in enumerate(sorted(r["w"] for r in distinct.collect()))}
+
 
-    ``others`` gives the passages besides ``cut`` whose known words weigh enough for a paraphrase; they are searched too,
-    but the weights and the space come from ``cut``.
+def _search(documents: DataFrame, benchmark: DataFrame, paraphrases: bool, key: str, rank: int, least: float, block_words: int) -> DataFrame:
+    """(key, item_id, verbatim, cosine, lcs_share) of passages of documents near a passage of an item.
+
+    Weights and space come from all passages with at least ``RUN`` known words and the passages of all items. For
+    paraphrases the windows of fewer known words that weigh enough for one are searched, too. Items are worked through in
+    blocks, each against all passages.
     """
-    spark = cut.sparkSession
-    n = cut.count()
-    df = np.zeros(len(items.vocabulary))
+    spark = documents.sparkSession
+    schema = "key long, item_id long, verbatim boolean, cosine double, lcs_share double"
+    texts = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
+    vocabulary = _vocabulary(texts)
+    if not vocabulary:
+        return spark.createDataFrame([], schema)
+    items = materialise(_codes(texts, vocabulary), "p8")
+    v = len(vocabulary)
+    cut = materialise(passages(documents, vocabulary, key), "p8")
+
+    def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [p.tolist() for w in pdf["words"] for p in item_passages(np.asarray(w, dtype=np.int32))]
+            yield pd.DataFrame({"words": pd.Series(found, dtype=object)})
+
+    own = materialise(items.mapInPandas(windows, "words array<int>"), "p8")
+    df = np.zeros(v)
     for r in cut.select(F.explode(F.array_distinct("words")).alias("w")).filter("w >= 0").groupBy("w").agg(F.count("*").alias("n")).collect():  # a row per word of the items
         df[r["w"]] = r["n"]
-    idf = (np.log((n + len(items.passages) + 1) / (df + 1)) + 0.1).astype(np.float32)
-    space = basis(cut, items, idf, rank)
-    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
-    v, own = len(idf), items.passages
+    idf = (np.log((cut.count() + own.count() + 1) / (df + 1)) + 0.1).astype(np.float32)
+    space = basis(cut.select("words").unionByName(own), idf, rank)
     weight = np.append(idf, np.float32(0))  # the last place stands for no word
+
+    searched = cut
+    if paraphrases:  # the lightest passage of all bounds what any window must weigh
+        lightest = own.mapInPandas(lambda batches: (pd.DataFrame({"x": [float(weight[np.asarray(w)].sum()) for w in pdf["words"]]}) for pdf in batches), "x double").agg(F.min("x")).first()[0]
+        searched = cut.unionByName(passages(documents, vocabulary, key, weight=idf, least=(lightest or 0.0) * min(PARAPHRASE_LCS, ANSWERED_LCS) * (1 - 1e-5)))  # sums of single precision
+
+    at = items.select("item_id", F.size("words").alias("n")).groupBy("item_id").agg(F.sum("n").alias("n"))
+    n_blocks = max(1, -(-int(at.agg(F.sum("n")).first()[0] or 0) // block_words))
+    out = []
+    for b in range(n_blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == b).orderBy("item_id", "words").collect()  # about WORDS_PER_BLOCK words
+        block = Block([(r["item_id"], np.array(r["words"], dtype=np.int32)) for r in rows])
+        if block.passages:
+            out.append(_search_block(searched, block, idf, space, weight, paraphrases, least, schema))
+    return reduce(DataFrame.unionByName, out) if out else spark.createDataFrame([], schema)
+
+
+def _unit(m: np.ndarray) -> np.ndarray:
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)
+
+
+def _search_block(searched: DataFrame, block: Block, idf: np.ndarray, space: np.ndarray, weight: np.ndarray, paraphrases: bool, least: float, schema: str) -> DataFrame:
+    v, own = len(idf), block.passages
     padded = np.full((len(own), WINDOW), v, dtype=np.int32)
     for j, p in enumerate(own):
         padded[j, : len(p)] = p
-    needed = weight[padded].sum(axis=1) * PARAPHRASE_LCS
-    shared = spark.sparkContext.broadcast((items, idf, space, unit(vectors(own, idf) @ space), padded, weight, needed))
+    needed = weight[padded].sum(axis=1) * min(PARAPHRASE_LCS, ANSWERED_LCS)
+    # the words of the block alone, numbered for a small table of which passage has which
+    local = np.full(v + 1, -1, dtype=np.int32)
+    used = np.unique(padded[padded < v])
+    local[used] = np.arange(len(used))
+    shared = searched.sparkSession.sparkContext.broadcast((block, idf, space, _unit(Sparse(own, idf).times(space)), local, local[padded], weight[padded], needed, len(used)))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        items, idf, space, targets, padded, weight, needed = shared.value
+        block, idf, space, targets, local, padded, heavy, needed, n_local = shared.value
         for pdf in batches:
             for at in range(0, len(pdf), 1_000):
                 part = pdf.iloc[at : at + 1_000]
                 found = [np.asarray(w) for w in part["words"]]
-                tfidf = vectors(found, idf)
-                cosine = unit(tfidf @ space) @ targets.T
+                tfidf = Sparse(found, idf)
+                cosine = _unit(tfidf.times(space)) @ targets.T
                 keys, near, out, hits = part["key"].to_numpy(), cosine >= least, [], {}
                 for i in np.flatnonzero(near.any(axis=1)):
-                    hit = {o for g in runs(found[i]) for o in items.by_run.get(g, ())}
+                    hit = {o for g in runs(found[i]) for o in block.by_run.get(g, ())}
                     if hit:
                         js = np.flatnonzero(near[i])
-                        owners = items.owners[js]
+                        owners = block.owners[js]
                         hits[i] = hit.intersection(owners.tolist())
-                        out += [(keys[i], items.ids[o], True, float(cosine[i, js[owners == o]].max()), 1.0) for o in hits[i]]
+                        out += [(keys[i], block.ids[o], True, float(cosine[i, js[owners == o]].max()), 1.0) for o in hits[i]]
                 if paraphrases:
                     pi, pj = np.nonzero(cosine >= PARAPHRASE_COSINE)
-                    has = np.append(tfidf > 0, np.zeros((len(found), 1), dtype=bool), axis=1)
+                    has = np.zeros((len(found), n_local + 1), dtype=bool)
+                    has[tfidf.row, local[tfidf.code]] = True
+                    has[:, -1] = False  # words of other blocks only
                     # the weight of the words in common bounds that of a subsequence: only pairs above it are aligned
                     for c in range(0, len(pi), 50_000):
                         i_, j_ = pi[c : c + 50_000], pj[c : c + 50_000]
-                        common = (has[i_[:, None], padded[j_]] * weight[padded[j_]]).sum(axis=1)
+                        common = (has[i_[:, None], padded[j_]] * heavy[j_]).sum(axis=1)
                         for i, j in zip(i_[common >= needed[j_]], j_[common >= needed[j_]]):
-                            o, words = items.owners[j], items.passages[j]
-                            if o not in hits.get(i, ()) and (share := common_subsequence(words, found[i], idf) / idf[words].sum()) >= PARAPHRASE_LCS:
-                                out.append((keys[i], items.ids[o], False, float(cosine[i, j]), share))
+                            o, words = block.owners[j], block.passages[j]
+                            if o not in hits.get(i, ()) and (share := common_subsequence(words, found[i], idf) / idf[words].sum()) >= min(PARAPHRASE_LCS, ANSWERED_LCS):
+                                out.append((keys[i], block.ids[o], False, float(cosine[i, j]), share))
                 yield pd.DataFrame(out, columns=["key", "item_id", "verbatim", "cosine", "lcs_share"])
 
-    searched = cut if others is None else cut.unionByName(others(idf, float(needed.min()) * (1 - 1e-5)))  # sums of single precision
-    return searched.mapInPandas(search, "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
-
-
-def _search(documents: DataFrame, benchmark: DataFrame, paraphrases: bool, key: str, rank: int, least: float) -> DataFrame:
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null")
-    n = max(1, -(-items.count() // ITEMS_PER_BLOCK))
-    out = []
-    for b in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == b).orderBy("item_id", "text").collect()
-        block = Items([(r["item_id"], r["text"]) for r in rows])
-        if block.passages:
-            cut = materialise(passages(documents, block.vocabulary, key), "p8")
-            others = (lambda weight, light, block=block: passages(documents, block.vocabulary, key, weight=weight, least=light)) if paraphrases else None
-            out.append(candidates(cut, block, rank, least, paraphrases, others))
-    if not out:
-        return documents.sparkSession.createDataFrame([], "key long, item_id long, verbatim boolean, cosine double, lcs_share double")
-    return reduce(DataFrame.unionByName, out)
+    return searched.mapInPandas(search, schema)
 
 
-def found(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", rank: int = RANK, least: float = LEAST_COSINE) -> DataFrame:
+def found(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", rank: int = RANK, least: float = LEAST_COSINE, block_words: int = WORDS_PER_BLOCK) -> DataFrame:
     """(doc_id, item_id) of each document that holds ``RUN`` or more consecutive words of the item, each pair once.
 
     Null keys and texts, and texts of fewer words, hold nothing. Repeated item ids count as one item with all texts.
+    A ``least`` of -1 checks every pair of passages and misses no run.
     """
-    return _search(documents, benchmark, False, key, rank, least).filter("verbatim").select(F.col("key").alias(key), "item_id").distinct()
+    return _search(documents, benchmark, False, key, rank, least, block_words).filter("verbatim").select(F.col("key").alias(key), "item_id").distinct()
+
+
+def exact_runs(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(doc_id, item_id) as ``found`` defines it, by a join on every run of words: the yardstick of its recall."""
 
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            made = [(k, " ".join(w[i : i + RUN])) for k, x in zip(pdf["key"], pdf["text"]) for w in [split_words(x)] for i in range(len(w) - RUN + 1)]
+            yield pd.DataFrame(made, columns=["key", "run"])
+
+    of = lambda df, k: df.select(F.col(k).cast("long").alias("key"), "text").filter("key is not null and text is not null").mapInPandas(cut, "key long, run string")
+    wanted = of(benchmark, "item_id").select(F.col("key").alias("item_id"), F.unhex(F.md5("run")).alias("run")).distinct()
+    return of(documents, key).select("key", F.unhex(F.md5("run")).alias("run")).join(wanted, "run").select(F.col("key").alias(key), "item_id").distinct()
 
-def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
+
+def leaks(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", block_words: int = WORDS_PER_BLOCK) -> DataFrame:
     """(doc_id, item_id, kind, cosine, lcs_share, answer_found): verbatim leaks and paraphrases.
 
-    A paraphrase has no common run, but ``PARAPHRASE_LCS`` of an item passage's words in order. ``answer_found``: the
-    item's reference answer stands in the document, blanks and letter case aside; null where there is no answer.
+    A paraphrase has no common run, but ``PARAPHRASE_LCS`` of an item passage's words in order, or ``ANSWERED_LCS`` of
+    them and the answer. ``answer_found``: a reference answer of the item stands in the document, blanks and letter case
+    aside; null where there is none. Of repeated documents and items each text and answer counts.
     """
     best = (
-        _search(documents, benchmark, True, key, RANK, LEAST_COSINE)
+        _search(documents, benchmark, True, key, RANK, LEAST_COSINE, block_words)
         .groupBy("key", "item_id")
         .agg(F.max("verbatim").alias("verbatim"), F.max("cosine").alias("cosine"), F.max("lcs_share").alias("lcs_share"))
     )
+    best = materialise(best, "p8")
     flat = lambda c: F.lower(F.regexp_replace(c, r"[^\p{L}\p{N}]+", " "))
-    answers = benchmark.groupBy("item_id").agg(F.first("reference_answer").alias("answer"))
-    texts = documents.select(F.col(key).alias("key"), F.col("text").alias("own")).join(best.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.max("own").alias("own"))
-    rows = best.join(answers, "item_id", "left").join(texts, "key", "left")
-    answer = F.trim(flat(F.col("answer")))
-    return rows.select(
-        F.col("key").alias(key), "item_id", F.when(F.col("verbatim"), "verbatim").otherwise("paraphrase").alias("kind"), F.round("cosine", 3).alias("cosine"), F.round("lcs_share", 3).alias("lcs_share"),
-        F.when(F.length(answer) > 0, F.concat(F.lit(" "), flat(F.col("own")), F.lit(" ")).contains(F.concat(F.lit(" "), answer, F.lit(" ")))).alias("answer_found"),
-    )
+    answers = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.trim(flat(F.col("reference_answer"))).alias("answer")).filter("answer <> ''").distinct()
+    texts = documents.select(F.col(key).cast("long").alias("key"), flat(F.col("text")).alias("own")).join(best.select("key").distinct(), "key", "left_semi")
+    said = best.select("key", "item_id").join(answers, "item_id").join(texts, "key")
+    stands = F.concat(F.lit(" "), "own", F.lit(" ")).contains(F.concat(F.lit(" "), "answer", F.lit(" ")))
+    said = said.groupBy("key", "item_id").agg(F.max(F.coalesce(stands, F.lit(False))).alias("answer_found"))
+    rows = best.join(said, ["key", "item_id"], "left").filter(F.col("verbatim") | (F.col("lcs_share") >= PARAPHRASE_LCS) | F.coalesce("answer_found", F.lit(False)))
+    kind = F.when(F.col("verbatim"), "verbatim").otherwise("paraphrase")
+    return rows.select(F.col("key").alias(key), "item_id", kind.alias("kind"), F.round("cosine", 3).alias("cosine"), F.round("lcs_share", 3).alias("lcs_share"), "answer_found")

@@ -36,10 +36,33 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) == len(set(got)) and set(got) == brute_leaks(docs, items) and (2, 10) in got and (3, 10) not in got
 
 
-def test_items_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(leaks, "ITEMS_PER_BLOCK", 1)
+def test_blocks_of_items_change_nothing(spark):
     docs, items = leak_tables(spark)
-    assert {tuple(r) for r in leaks.found(docs, items).collect()} == brute_leaks(docs, items)
+    tables = [sorted(map(tuple, leaks.leaks(docs, items, block_words=n).collect()), key=str) for n in (10_000, 20)]
+    assert tables[0] == tables[1] != []
+    assert {tuple(r) for r in leaks.found(docs, items, block_words=20).collect()} == brute_leaks(docs, items)
+
+
+def test_exact_runs_and_all_pairs_equal_brute_force(spark):
+    docs, items = leak_tables(spark)
+    assert {tuple(r) for r in leaks.exact_runs(docs, items).collect()} == brute_leaks(docs, items)
+    assert {tuple(r) for r in leaks.found(docs, items, least=-1.0).collect()} == brute_leaks(docs, items)
+
+
+def test_more_words_than_a_task_may_hold_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "MAX_VOCABULARY", 5)
+    with pytest.raises(ValueError, match="distinct words"):
+        leaks.found(*leak_tables(spark))
+
+
+def test_recall_of_reworded_items(spark, data):
+    """Every tenth word replaced, so that no run of 12 is left: nearly all such copies must be found."""
+    items = spark.read.parquet(f"{data}/benchmark.parquet").orderBy("item_id").limit(60)
+    rows = [(r["item_id"], leaks.split_words(r["text"] or "")) for r in items.collect()]
+    rows = [(i, w) for i, w in rows if len(w) >= 20]
+    docs = spark.createDataFrame([(i, " ".join(x if j % 10 != 4 else "moreover" for j, x in enumerate(w))) for i, w in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.leaks(docs, items).collect()}
+    assert len({(i, i) for i, _ in rows} & got) >= 0.9 * len(rows)
 
 
 def test_leaks_of_the_test_tables(spark, data):
@@ -70,10 +93,19 @@ def test_leaks_of_nothing(spark):
     assert leaks.leaks(docs.limit(0), items).collect() == []
 
 
-def test_basis_spans_the_passages():
-    items = leaks.Items([(1, ITEM)])
-    v = leaks.vectors(items.passages, np.ones(len(items.vocabulary), dtype=np.float32))
-    assert np.allclose(np.linalg.norm(v, axis=1), 1)
+def test_vectors_are_those_of_dense_matrices():
+    rng = np.random.default_rng(2)
+    found = [rng.integers(-1, 9, size=n) for n in (24, 1, 0, 13, 24)] + [np.array([-1, -1])]
+    idf = rng.random(9).astype(np.float32) + 0.1
+    dense = np.zeros((len(found), 9))
+    for i, p in enumerate(found):
+        for c in p[p >= 0]:
+            dense[i, c] += idf[c]
+    dense /= np.maximum(np.linalg.norm(dense, axis=1, keepdims=True), 1e-12)
+    a, m, y, total = leaks.Sparse(found, idf), rng.random((9, 4)), rng.random((len(found), 3)), np.zeros((9, 3))
+    a.add_transposed(y, total)
+    assert np.allclose(a.times(m), dense @ m, atol=1e-5) and np.allclose(total, dense.T @ y, atol=1e-5)
+    assert leaks.Sparse([], idf).times(m).shape == (0, 4)
     assert leaks.common_subsequence(np.array([0, 1, 2]), np.array([0, -1, 2, 1]), np.array([1.0, 2.0, 4.0])) == 5.0
 
 
