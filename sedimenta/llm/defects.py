@@ -1,84 +1,66 @@
 """Problem 6: defective answers.
 
 An answer is cut into clauses (sentences, list items, blocks of code). A linear-chain conditional random field tags each
-clause as answer, refusal, echo of the instruction, foreign or unfinished; the share of the answer that each tag covers
-decides the defect of the pair. The field is trained on answers of the table itself and damaged copies of them.
+clause as answer, refusal, echo of the instruction, foreign, unfinished or empty; the share of the answer that each tag
+covers decides the defect of the pair. The field is trained on answers of the table itself and damaged copies of them:
+what was done to a copy tells its tags, and the features are never asked. Features are words and word pairs, overlap with
+the instruction, likelihoods under letter models of languages, and the state of the last line.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TAGS = ("answer", "refusal", "echo", "foreign", "unfinished")
-A, R, E, X, U = range(5)
+from sedimenta.llm import languages, seeds
+
+TAGS = ("answer", "refusal", "echo", "foreign", "unfinished", "empty")
+A, R, E, X, U, N = range(6)
 #: Most pairs taken to train on, those of the smallest hash of their text; all pairs are tagged.
 MAX_TRAINING = 1_500
-#: Most clauses of a sequence to train on.
-MAX_CLAUSES = 12
-#: Share of an answer's characters that must be foreign.
+#: Most clauses, and characters, of an answer to train on; answers of any length are tagged whole.
+MAX_CLAUSES, MAX_TRAINING_CHARS = 24, 4_000
+#: Damaged copies are as many as sound answers in training but few in a table: nats by which a last clause must be likelier unfinished than not.
+RARE = 1.0
+#: Nats by which a clause must be likelier sound than not for its pair to count as sound in training.
+DOUBT = 1.0
+#: Share of an answer's letters and digits that echoes, refusals or empty notes must cover.
+COVERED = 0.9
+#: Share of an answer's prose that must be foreign.
 FOREIGN_SHARE = 0.5
-#: Share of the marker words of one language from which a text counts as all in that language.
-PURE = 0.6
-
-# Frequent words that mark a language, none of them a keyword of program code.
-MARKERS = {
-    "en": "the a an of is are this that it its you and with which what how when before after would should first on my be can not was were so then i please without because use does",
-    "de": "der die das den dem des ein eine einen einem einer und ist sind nicht mit wird werden sich auf zu von im wie was wenn nach vor danach zuerst bei es ich kann sonst weil ohne warum diese dieser zusätzlich wichtig",
-    "fr": "le la les l un une des du d et est sont pas ne avec que qui sur pour dans ce cette se il en au aux à je après avant ensuite puis comment pourquoi sans car de plus faut mon",
-    "es": "el la los las un una unos unas y es son no con que se en del al por para lo como antes después luego primero qué cómo cuándo sin porque además su este esta de más si puede conviene",
-}
-_MARKER = {k: frozenset(v.split()) for k, v in MARKERS.items()}
-# Names of the four languages in each of them.
-LANGUAGE_NAMES = {
-    "en": r"english|englisch\w*|anglais\w*|ingl[ée]s\w*",
-    "de": r"german|deutsch\w*|allemand\w*|alem[áa]n\w*",
-    "fr": r"french|französisch\w*|fran[çc]ais\w*|franc[ée]s\w*",
-    "es": r"spanish|spanisch\w*|espagnol\w*|español\w*|castellano",
-}
-_NAMES = {k: re.compile(rf"\b(?:{v})\b") for k, v in LANGUAGE_NAMES.items()}
-
-# What is said in place of an answer, by language.
-DECLINES = (
-    r"(?:can(?:no|['’]?)t|cannot|can not|could not|couldn['’]?t|won['’]?t|will not|am not able to|['’]m not able to|am unable to|['’]m unable to|unable to|not allowed to|not permitted to|must|have to|rather not|do not have the ability to|don['’]?t have the ability to)"
-    r" (?:\w+ ){0,2}?(?:assist|help|comply|answer|respond|reply|provid\w+|decline|refuse|do (?:this|that)|write this|fulfil\w*|be providing|discuss|talk about|share|complete this)",
-    r"against my (?:guidelines|policy|policies|rules|principles)",
-    r"not something i (?:can|could|am able)",
-    r"something i (?:have to|must) decline",
-    r"(?:do not|don['’]?t) permit",
-    r"outside (?:of )?what i (?:am|['’]m) allowed",
-    r"as an? (?:ai |artificial )?(?:language model|assistant|ai\b)",
-    r"als (?:ki )?sprachmodell|dabei nicht helfen|nicht beantworten|nicht weiterhelfen|anfrage (?:leider )?(?:ablehnen|nicht)|ablehnen|darf ich (?:\w+ ){0,3}nicht|kann ich (?:\w+ ){0,3}nicht (?:helfen|beantworten|erfüllen|schreiben)|(?:außerhalb|jenseits) dessen|gegen meine (?:richtlinien|vorgaben)|nicht (?:in der lage|möglich|imstande|erlaubt)",
-    r"en tant que modèle|(?:dois|suis obligée? de) (?:refuser|décliner)|impossible (?:pour moi )?de (?:répondre|vous aider|faire|traiter)|ne (?:peux|puis|suis) pas (?:\w+ ){0,4}(?:aider|répondre|faire|capable|autorisée?|en mesure)|contraire à mes|(?:en dehors|au delà) de ce que",
-    r"como modelo de|no (?:puedo|podré|me es posible|soy capaz de|estoy autorizad[oa] a) (?:\w+ ){0,3}(?:ayudar|responder|contestar|hacer|atender|escribir|cumplir)|no (?:puedo|podré) ayudar|(?:debo|tengo que) (?:rechazar|declinar|negarme)|contra mis (?:normas|reglas|directrices)|fuera de lo que",
-)
-REGRETS = r"^\W*(?:i['’ ]?a?m (?:very |really )?sorry|sorry|i apologi[sz]e|apologies|unfortunately|regrettably|thank you for asking|i understand what you need|i appreciate|es tut mir (?:sehr )?leid|tut mir leid|leider|entschuldig\w+|bedaure\w*|ich verstehe|danke|je suis (?:vraiment )?désolée?|désolée?|malheureusement|je regrette|merci|je comprends|lo siento|disculp\w+|lamentablemente|por desgracia|desafortunadamente|perd[oó]n\w*|gracias|entiendo)\b"
-CLOSERS = r"^\W*(?:let me know|is there anything else|i hope (?:you|this)|please (?:consult|contact|ask|reach)|feel free|how else can i|bitte (?:wende|konsultier|frag)\w*|ich hoffe|gibt es (?:sonst|noch)|lass(?:en)? (?:es )?mich|sag mir|veuillez (?:consulter|contacter|vous)|n['’]hésitez|j['’]espère|y a t il|puis-je|por favor (?:consult|contact|pregunt)\w*|espero que|¿?hay (?:algo|alguna)|avísame|dime si)"
-RESTATES = r"^\W*(?:you (?:are asking|asked|want to know)|your question|du fragst|sie fragen|(?:vous demandez|tu demandes)|preguntas|me preguntas)\b"
-_DECLINE, _REGRET, _CLOSER, _RESTATE = re.compile("|".join(DECLINES)), re.compile(REGRETS), re.compile(CLOSERS), re.compile(RESTATES)
-
-# Notes that there is no answer, and labels before one.
-NO_ANSWER = r"(?:n ?/? ?a|tbd|tba|to ?do|fixme|xxx|(?:left )?(?:intentionally )?blank|empty|missing|pending|none given|not (?:available|provided|given|answered|applicable)|(?:there is )?no (?:answer|response|reply|output|solution|content|text)(?: (?:is |was )?(?:provided|given|available|found|yet))?|(?:answer|response|reply|output|solution|content)s? (?:is |was )?(?:missing|empty|blank|pending|not (?:available|provided|given)|to follow|unavailable)|(?:keine|ohne) (?:antwort|angabe)(?: vorhanden)?|antwort fehlt|(?:pas de|sans|aucune) réponse|réponse manquante|sin respuesta|(?:no hay|falta la) respuesta)"
-LABELS = r"(?:answer|solution|response|result|output|reply|question|prompt|instruction|request|task|query|user|input|q|a|antwort|lösung|ergebnis|frage|aufgabe|anweisung|réponse|solution|résultat|question|consigne|instruction|respuesta|solución|resultado|pregunta|instrucción|tarea)"
-_NO_ANSWER = re.compile(rf"{NO_ANSWER}", re.I)
-_LABEL = re.compile(rf"^[\W_]*{LABELS}[\W_]*:[\W_]*", re.I)
+#: How many nats less likely than its likeliest language an instruction may be in a language that answers may have.
+SAME_LANGUAGE = 4.0
 
 _MARKUP = re.compile(r"<[^<>\n]*>|&(?:\w+|#\d+);|```\w*")
 _FENCE = re.compile(r"```[^\n`]*(?:\n|$)")
-_SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)]*\s+(?=\S)")
+_SENTENCE = re.compile(r"(?<=[.!?…。！？])[\"'”’»)]*\s+(?=\S)|(?<=[。！？])(?=\S)")
 _ITEM = re.compile(r"^\s*(?:[-*+•]|\d+[.)])\s")
-_TICKS = re.compile(r"`[^`\n]*`|\b\w*_\w*\b|\w+\(\)")
-_CODE_START = re.compile(r"\s*(?:def |class |public |private |package |export |const |let |var |function |async |#include|pub |fn |func |#!/|select\s|with \w+ as|insert |create |--- |diff |@@ |\{|\[|import |from \w+ import|int |void |static |module |use |using |@\w+)", re.I)
-_CODE_SIGN = re.compile(r"[{}();=\[\]]|:\s*\n|:$")
-_STRINGS = re.compile(r'"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'|`[^`]*`')
+_TICKS = re.compile(r"`[^`\n]*`|\b\w*[_\d]\w*\b|\w+\(\)")
+_CODE_START = re.compile(r"""\s*(?:def |class |public |private |package |export |const |let |var |function |async |#include|#define|pub |fn |func |#!/|select\s|with \w+ as|insert |update \w+ set|delete from|create |--- |diff |@@ |\{\s*(?:["'\d}\n]|\w+\s*:)|\[\s*[\[{"'\d]|import |from \w+ import|int |void |static |module |struct |type \w+ |use |using |@\w+|git |<\w+>)""", re.I)
+_CODE_SIGN = re.compile(r"[{}();=\[\]<>]|:\s*\n|:$|\n")
+_LABEL = re.compile(r"[\W_]*[^\W\d_]+(?: [^\W\d_]+)?[\W_]*:[\W_]*(?=\w)")
+_STRINGS = re.compile(r'"(?:\\.|[^"\\\n])*"|\'(?:\\.|[^\'\\\n])*\'|`[^`]*`|(?<!\S)(?:#|//|--) [^\n]*|/\*.*?\*/')
 _OTHER = re.compile(r"[\W_]+")
-_GAP = re.compile(r"[^\w'’]+")
+_WORDS = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_TOKENS = re.compile(r"\w+")
+_LAST = re.compile(r"\w+$")
+_NAME_IS = re.compile(r"(?:(?:let|const|var|final|auto|int|long|double|float|bool|char|string|mut) +)*\w+(?: *: *[\w\[\]<>, ]+)? *(?:[-+*/%|&:]|<<|>>)?= *\S", re.I)
+_PLACE_IS = re.compile(r"[\w.\[\]'\"]+ *[-+*/]?= *\S")
+_CALL = re.compile(r"[\w.:>\-!]+ ?\(.*\)[;,]?$")
+_LEAVES = re.compile(r"(?:return|yield|raise|throw|exit|pass|break|continue)\b")
+_CLOSES = frozenset("end fi done esac pass break continue ... end; fi; done;".split())
+_OPENS = re.compile(r"\b(?:def|class|module|do|begin|if|case|unless)\b", re.I)
+_ENDS = re.compile(r"\bend\b", re.I)
+_GROUPS = (
+    ("diff", re.compile(r"(?:--- |diff |@@ )")), ("shell", re.compile(r"#!|(?:git|cd|make|sudo|export \w+=) ?")), ("sql", re.compile(r"(?:select|with|insert|create|update|delete)\s", re.I)), ("data", re.compile(r"[{\[]")), ("ends", re.compile(r"(?:def|class|module|require) ?[^:{]*(?:\n|$)", re.I)),
+    ("python", re.compile(r"(?:def|class|from|import|async def|@\w+)\b", re.I)), ("markup", re.compile(r"<")),
+)
 
 
 def fold(text: str) -> str:
@@ -86,89 +68,14 @@ def fold(text: str) -> str:
     return _OTHER.sub("", text).casefold()
 
 
-def marked(text: str) -> dict[str, int]:
-    """How many words of the text mark each language."""
-    words = re.findall(r"[^\W\d_]+", _TICKS.sub(" ", text).casefold())
-    return {k: sum(map(m.__contains__, words)) for k, m in _MARKER.items()}
-
-
-def language(text: str) -> str | None:
-    """The language most of whose marker words stand in the text; None without any, or with as many of another."""
-    counts = sorted(((n, k) for k, n in marked(text).items()), reverse=True)
-    return counts[0][1] if counts[0][0] > counts[1][0] else None
-
-
-def allowed(instruction: str) -> frozenset[str]:
-    """The instruction's own language and those it names; none known means any."""
-    own, low = language(instruction), instruction.casefold()
-    return frozenset({own} | {k for k, p in _NAMES.items() if p.search(low)}) if own else frozenset()
-
-
 def is_code(text: str) -> bool:
     return bool(_CODE_START.match(text) and _CODE_SIGN.search(text)) and len(text.strip()) > 12
 
 
-def code_ends(code: str) -> bool:
-    """Whether a block of program code, markup or data is finished, judged by its last statement and its brackets."""
-    text = code.strip()
-    if not text:
-        return True
-    low = text.lower()
-    last = text.rsplit("\n", 1)[-1]
-    if low.startswith(("--- ", "diff ", "@@ ")):
-        return not last.startswith(("+", "-", "@@")) and bool(re.search(r"\breturn\s+\w+$", last, re.I)) and ("\n" not in text or last.startswith((" ", "\t")) or last == last.lstrip())
-    python = bool(re.match(r"(?:def |class |@\w+|async def |from \w+ import|import )[^\n{;]*(?:\n|$|:)", low)) and not re.search(r"\bend\b\s*$", low)
-    hashes = python or low.startswith("#!") or bool(re.match(r"(?:def|class|module|require) ", low))
-    one_line = "\n" not in text and len(text) > 120
-    bare = _STRINGS.sub('""', text)
-    if not one_line:
-        bare = re.sub(r"(?<!\S)#[^\n]*" if hashes else r"(?<!\S)//[^\n]*|/\*.*?\*/|(?<!\S)-- [^\n]*|^#[^\n]*", "", bare, flags=re.M).rstrip()
-    balance = [bare.count(a) - bare.count(b) for a, b in ("()", "[]", "{}")]
-    if max(balance) > 0:
-        return False
-    if low.startswith("#!"):
-        return bare.endswith(("}", "fi", "done", "esac")) or not re.search(r"\{\s*$", bare)
-    if re.match(r"(?:select|with|insert|create)\s", low):
-        return bare.endswith(";")
-    if not python and hashes:
-        return bool(re.search(r"\bend$", bare.lower())) and len(re.findall(r"\bdef\b|\bclass\b", bare.lower())) <= len(re.findall(r"\bend\b", bare.lower()))
-    if python:
-        tail = bare.rsplit("\n", 1)[-1] if not one_line else bare[-160:]
-        if re.search(r":\s*\.\.\.$", tail):
-            return True
-        back = re.search(r"\breturn\b\s*(.*)$", tail, re.I | re.S)
-        if back:
-            name = re.fullmatch(r"(\w+)", back[1].strip())
-            return bool(back[1].strip()) and (not name or name[1].isdigit() or len(re.findall(rf"\b{re.escape(name[1])}\b", bare)) > 1 or name[1].lower() in ("none", "true", "false"))
-        return not tail.startswith((" ", "\t")) and not one_line and not re.match(r"(?:def|class|for|if|while|with|else|try|@)\b", tail, re.I) and not tail.endswith((":", "=", ",", "+", "(", "\\"))
-    if low[0] in "{[" or "{" in bare:
-        return bare.endswith(("}", "]", ";", ")"))
-    return not bare.endswith((",", "=", "+", "&&", "||", "(", "{", "["))
-
-
-_END_MARKS = tuple(".!?:;)]}>\"'”’»`*。|")
-_OPEN_WORDS = frozenset("the a an of and or to in with for der die das und oder mit zu den dem le la les l un une des du de et ou el los las y o del con".split())
-
-
-def prose_ends(clause: str, item: bool, only: bool, others: int) -> bool:
-    """Whether the last clause of an answer is finished. Values, list items and headings need no end mark."""
-    text = clause.strip()
-    if text.endswith(("…", "...")):
-        return False
-    words = re.findall(r"[^\W_]+", text.casefold())
-    if text.endswith(_END_MARKS):
-        return text.count("`") % 2 == 0 and not text.endswith(" :")
-    if item:
-        return bool(words) and words[-1] not in _OPEN_WORDS and (len(words) > 1 or others < 2)
-    if text.startswith("#"):
-        return True
-    return only and len(words) <= 3 and language(text) is None
-
-
 def clauses(output: str) -> list[tuple[str, str]]:
-    """(kind, text) in order; kind is code, open (a fence that is never closed), item or prose."""
+    """(kind, text) in order; kind is code, open (a fence that is never closed), item or prose, or blank for all of a text without any."""
     out: list[tuple[str, str]] = []
-    parts = _FENCE.split(output)
+    parts = _FENCE.split(output) if "```" in output else [output]
     for i, part in enumerate(parts):
         if i % 2:
             if part.strip():
@@ -179,261 +86,473 @@ def clauses(output: str) -> list[tuple[str, str]]:
             out.append(("code", part))
         else:
             for line in part.splitlines():
-                if not line.strip():
-                    continue
-                if _ITEM.match(line):
-                    out.append(("item", line))
+                if line.strip():
+                    if _ITEM.match(line):
+                        out.append(("item", line))
+                    else:
+                        out += [("prose", s) for s in _SENTENCE.split(line) if s and s.strip()]
+    return out or [("blank", output)]
+
+
+def _prose(instruction: str) -> str:
+    """An instruction without the code below it."""
+    lines = instruction.split("\n")
+    for i in range(1, len(lines)):
+        if lines[i].startswith("```") or _CODE_START.match(lines[i]) and is_code("\n".join(lines[i:])):
+            return "\n".join(lines[:i])
+    return instruction
+
+
+def words_of(text: str) -> list[str]:
+    return _WORDS.findall(_TICKS.sub(" ", text).casefold())
+
+
+def _bin(x: float, bounds: tuple) -> int:
+    return sum(x >= b for b in bounds)
+
+
+class Reader:
+    """Clauses as features. ``counts`` says in how many training pairs a word occurs; ``least`` is from when it is known."""
+
+    def __init__(self, counts: dict[str, int], least: int = 1) -> None:
+        self.counts, self.least = counts, least
+        self.starts = {w[:i] for w, n in counts.items() if n >= 2 for i in range(1, len(w))}
+        self.profiles, self.asked, self.done = languages.Profiles(), {}, None
+
+    def ask(self, instruction: str) -> tuple[str, np.ndarray | None, frozenset]:
+        """The folded instruction, which languages an answer to it may have, and its tokens."""
+        got = self.asked.get(instruction)
+        if got is None:
+            words = [w for k, t in clauses(_prose(instruction)) if k in ("prose", "item") for w in words_of(t)] or words_of(instruction)
+            may = None
+            if words:
+                likely = self.profiles.sum(words)
+                may = likely >= likely.max() - SAME_LANGUAGE
+                may[list(languages.named(instruction.casefold()))] = True
+            if len(self.asked) > 50_000:
+                self.asked.clear()
+            got = self.asked[instruction] = (fold(instruction), may, frozenset(_TOKENS.findall(instruction.casefold())))
+        return got
+
+    def _echo(self, own: str, folded: str) -> int:
+        """How much of a folded clause stands in the folded instruction, from 0 to 5; 6 and 7 for short ones."""
+        n = len(own) - 7
+        if n < 5:
+            return 6 + (bool(own) and own in folded)
+        if sum(own[j : j + 8] in folded for j in range(0, n, max(1, n // 5))) < 2:
+            return 0
+        at = range(0, n, max(1, n // 60))
+        return _bin(sum(own[j : j + 8] in folded for j in at) / len(at), (0.1, 0.3, 0.6, 0.85, 0.97))
+
+    def _token(self, text: str, tokens: frozenset) -> str:
+        """What is known of the word that the text ends with."""
+        found = _LAST.search(text)
+        if not found:
+            return "none"
+        last = found[0].casefold()
+        if last.isdigit():
+            return "number"
+        seen = Counter(_TOKENS.findall(text.casefold()))
+        if seen[last] > 1 or last in tokens:
+            return "seen"
+        known = self.counts.get(last, 0) >= self.least
+        if any(t.startswith(last) for t in seen if t != last) or any(t.startswith(last) for t in tokens):
+            return "known start" if known else "start"
+        return "known" if known else "likely start" if last in self.starts else "new"
+
+    def _code_end(self, text: str, tokens: frozenset) -> list[str]:
+        code = text.strip()
+        lines = code.split("\n")
+        last = lines[-1].strip()
+        group = next((g for g, p in _GROUPS if p.match(code)), "other")
+        if group == "diff":
+            last = last[1:].strip() if last[:1] in "+-" else last
+            code_ = last
+        else:
+            code_ = code
+        balance = [code_.count(a) - code_.count(b) for a, b in ("()", "[]", "{}")]
+        if any(balance):  # brackets in texts and comments don't count, unless they make up for others
+            bare = _STRINGS.sub("", code_)
+            balance = min(balance, [bare.count(a) - bare.count(b) for a, b in ("()", "[]", "{}")], key=lambda b: sum(map(abs, b)))
+        token, sign = self._token(code, tokens), code[-1:] if code and not code[-1].isalnum() else "a"
+        sign = "stub" if last.endswith((": ...", "{ ... }")) or last == "..." else sign
+        out = [f"ce {group}", f"cs {sign}", f"cs {sign} {group}", f"ct {token}", f"ct {token} {group}", f"cl {chr(10) in text[len(text.rstrip()) :]}", f"c1 {len(lines) == 1}"]
+        opened = max(balance)
+        out += [f"cb {min(opened, 2)}", f"cb {min(opened, 2)} {group}", f"cn {min(balance) < 0}", f"cq {last.count(chr(34)) % 2} {last.count(chr(39)) % 2}"]
+        if group == "diff":
+            return out
+        if last.startswith(("#", "//", "--", "/*", "*")):
+            kind = "comment"
+        else:
+            body = re.sub(r"\s+(?:#|//) .*$", "", last)
+            if not body.strip("})];, "):
+                kind = "closer"
+            elif body.casefold() in _CLOSES or body.endswith(": ..."):
+                kind = "close word"
+            elif _LEAVES.match(body.casefold()):
+                kind = "leaves" if len(body.split()) > 1 or body.rstrip(";").casefold() in _CLOSES else "leaves bare"
+            elif body.endswith((":", "{", "(", "[", " do", " then", ",", "=", "+", "&&", "||", "<", ">")):
+                kind = "open " + body[-1]
+            elif _NAME_IS.match(body):
+                kind = "name is"
+            elif _PLACE_IS.match(body):
+                kind = "place is"
+            else:
+                kind = "call" if _CALL.match(body) else "other"
+        inside = lines[-1][:1] in " \t"
+        out += [f"ck {kind}", f"ck {kind} {inside}", f"ck {kind} {group}", f"ci {inside} {group}"]
+        if group == "ends":
+            out.append(f"cd {_bin(len(_OPENS.findall(code)) - len(_ENDS.findall(code)), (1, 2))}")
+        if group == "shell":
+            tokens_ = Counter(_TOKENS.findall(code))
+            out.append(f"ch {tokens_['then'] > tokens_['fi'] or tokens_['do'] > tokens_['done']}")
+        if code.count(";\n") >= 2 and kind not in ("closer", "comment"):
+            out.append(f"cm {last.endswith(';')}")
+        return out
+
+    def _prose_end(self, kind: str, text: str, words: list[str], before: str, tokens: frozenset, newline: bool) -> list[str]:
+        end = text.rstrip()
+        sign = "dots" if end.endswith(("…", "...")) else "digit" if end[-1:].isdigit() else "letter" if end[-1:].isalpha() else end[-1:]
+        heading, few = end.lstrip()[:1] == "#", _bin(len(words), (1, 2, 4, 8))
+        out = [f"ps {sign}", f"ps {kind} {sign}", f"pn {sign} {few}", f"ph {heading}", f"po {end.count('`') % 2} {end.count('(') > end.count(')')} {end.count(chr(34)) % 2}"]
+        if sign in ("letter", "digit", ","):
+            token = self._token(end, tokens)
+            out += [f"pw {token}", f"pk {kind} {sign} {token}", f"pt {newline or text[-1:].isspace()}", f"pb {before} {sign} {few}"]
+            if words:
+                out.append(f"pe {words[-1]}")
+        return out
+
+    def read(self, instruction: str, output: str) -> tuple[list[str], list[list[str]], list[int], list[str]]:
+        """Kinds, features, sizes and word features of the clauses."""
+        folded, may, tokens = self.ask(instruction)
+        found = clauses(output)
+        fenced, n = "```" in output, len(found)
+        kinds, feats, sizes, grams = [], [], [], []
+        texts = [words_of(t) if k != "code" and k != "open" else [] for k, t in found]
+        margins, whole = [None] * n, None
+        if may is not None and not may.all():
+            total = np.zeros(len(languages.LANGUAGES), dtype=np.float32)
+            for i, ws in enumerate(texts):
+                if ws:
+                    v = self.profiles.sum(ws)
+                    total += v
+                    margins[i] = float(v[~may].max() - v[may].max())
+            if total.any():
+                whole = float(total[~may].max() - total[may].max())
+        bounds = (-30, -12, -5, 0, 5, 12, 30)
+        before = "none"
+        for i, (kind, text) in enumerate(found):
+            own, ws, last = fold(text), texts[i], i == n - 1
+            sizes.append(len(own) or 1)
+            echo = self._echo(own, folded)
+            if echo in (2, 3, 4) and (label := _LABEL.match(text)):
+                echo = max(echo, self._echo(fold(text[label.end() :]), folded))
+            f = ["bias", f"k {kind}", f"e {echo}", f"ek {echo} {kind}", f"at {min(i, 2)} {last}", f"n {min(n, 4)}"]
+            if echo >= 4:
+                f.append(f"er {_bin(len(own) / (len(folded) + 1), (0.3, 0.7, 1.3))}")
+            if len(own) < 40:
+                f.append(f"x {bool(fold(_MARKUP.sub(' ', text)))} {kind} {min(n, 3)}")
+            if kind in ("prose", "item", "blank"):
+                f.append(f"w {_bin(len(ws), (1, 2, 3, 5, 8))}")
+                if margins[i] is not None:
+                    a, b = _bin(margins[i], bounds), _bin(whole, bounds)
+                    f += [f"l {a}", f"lw {b}", f"ll {a} {b}"]
+                if len(own) < 40 and n <= 2:  # what may be no answer at all
+                    plain = text.strip()
+                    f += [f"xc {plain[-1:] == ':'} {plain[:1] in '#*=' and bool(plain)} {_bin(len(ws), (1, 2, 3))} {n}", f"xb {plain[:1] in '[(<' and bool(plain)} {plain.isupper()}", f"xd {any(c.isdigit() for c in plain)}", f"xs {' '.join(ws)}"]
+                grams.append([f"u {w}" for w in ws] + [f"b {a} {b}" for a, b in zip(["^", *ws], [*ws, "$"])])
+            else:
+                grams.append([])
+            if last:
+                if kind == "code" and fenced:
+                    f.append("closed")
+                elif kind in ("code", "open"):
+                    f += self._code_end(text, tokens)
                 else:
-                    out += [("prose", s) for s in _SENTENCE.split(line) if s and s.strip()]
-    return out
+                    f += self._prose_end(kind, text, ws, before, tokens, output[-1:] == "\n")
+            if kind == "prose":
+                before = "stop" if text.rstrip()[-1:] in ".!?:;。" else "run"
+            elif kind == "item":
+                before = "item"
+            kinds.append(kind)
+            feats.append(f)
+        return kinds, feats, sizes, grams
 
 
-FEATURES = (
-    "bias", "code", "item", "decline", "regret", "closer", "restates", "echo", "near_echo", "novel", "foreign", "own_language", "open_prose", "open_code",
-    "last", "only", "label", "question",
-)
-_F = {name: i for i, name in enumerate(FEATURES)}
-
-
-def _is_open(kind: str, text: str, last: bool, only: bool, items: int) -> str | None:
-    if not last:
-        return None
-    if kind == "open":
-        return "open_code"
-    if kind == "code":
-        return None if code_ends(text) else "open_code"
-    return None if prose_ends(text, kind == "item", only, items) else "open_prose"
-
-
-def featurise(instruction: str, found: list[tuple[str, str]], fenced: bool, sizes: list[int] | None = None) -> list[tuple[int, ...]]:
-    """The numbers of the features that hold for each clause; ``sizes`` gets its letters and digits."""
-    folded, languages = fold(instruction), allowed(instruction)
-    out = []
-    items = sum(k == "item" for k, _ in found)
-    # the language of the whole prose holds for each clause, unless more than one language is in it
-    hits = marked(" ".join(t for k, t in found if k in ("prose", "item"))) if languages else {}
-    whole = max(hits, key=hits.get) if hits and max(hits.values()) else None
-    pure = whole is not None and hits[whole] >= PURE * sum(hits.values())
-    for i, (kind, text) in enumerate(found):
-        has, last, only = {"bias"}, i == len(found) - 1, len(found) == 1
-        low = _GAP.sub(" ", text.casefold())
-        own = fold(_LABEL.sub("", text, count=1))
-        if sizes is not None:
-            sizes.append(len(own) or 1)
-        if own and own in folded and (len(own) > 12 or own == folded or (out and _F["echo"] in out[-1])):
-            has.add("echo")
-        elif len(own) > 24 and sum(own[j : j + 8] in folded for j in range(0, len(own) - 7, max(1, (len(own) - 8) // 5))) >= 3:
-            grams = {own[j : j + 8] for j in range(len(own) - 7)}
-            if sum(g in folded for g in grams) >= 0.85 * len(grams):
-                has.add("near_echo")
-        if own and not has & {"echo", "near_echo"}:
-            has.add("novel")
-        if kind in ("code", "open"):
-            has.add("code")
-        else:
-            if kind == "item":
-                has.add("item")
-            if _DECLINE.search(low):
-                has.add("decline")
-            for name, pattern in (("regret", _REGRET), ("closer", _CLOSER), ("restates", _RESTATE)):
-                if pattern.search(low):
-                    has.add(name)
-            if _LABEL.fullmatch(text.strip()):
-                has.add("label")
-            if text.rstrip().endswith("?"):
-                has.add("question")
-            if languages and (tongue := whole if pure else language(text) or whole):
-                has.add("own_language" if tongue in languages else "foreign")
-        if state := _is_open("prose" if kind == "code" and fenced and not last else kind, text, last, only, items):
-            if not (kind == "code" and fenced):  # a closed fence is a finished block
-                has.add(state)
-        if last:
-            has.add("last")
-        if only:
-            has.add("only")
-        out.append(tuple(sorted(_F[x] for x in has)))
-    return out
+Sequence = tuple[list[list[str]], list[list[str]], list[int]]
 
 
 class Field:
-    """Linear-chain conditional random field over sparse binary features; trained in batches of padded sequences."""
-
-    def __init__(self, emit: np.ndarray, move: np.ndarray, start: np.ndarray) -> None:
-        self.emit, self.move, self.start = emit, move, start
+    """Linear-chain conditional random field over sparse features."""
+
+    def __init__(self, names: dict[str, int], emit: np.ndarray, move: np.ndarray, start: np.ndarray, counts: dict[str, int]) -> None:
+        self.names, self.emit, self.move, self.start, self.counts = names, emit, move, start, counts
+
+    @staticmethod
+    def flatten(names: dict[str, int], feats: list[list[str]], grams: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Feature numbers, their values, and where each clause begins; words share their weight by the root of their number."""
+        at, value, starts, get = [], [], [], names.get
+        for f, g in zip(feats, grams):
+            starts.append(len(at))
+            own = [j for x in f if (j := get(x)) is not None]
+            ws = [j for x in g if (j := get(x)) is not None]
+            at += own or [0]
+            value += [1.0] * (len(own) or 1)
+            if ws:
+                at += ws
+                value += [2.5 / len(g) ** 0.5] * len(ws)
+        return np.array(at, dtype=np.int64), np.array(value, dtype=np.float32), np.array(starts, dtype=np.int64)
 
     @classmethod
-    def train(cls, sequences: list[tuple[list[tuple[int, ...]], list[int]]], steps: int = 250, penalty: float = 1e-4) -> Field:
-        counted: dict[tuple, int] = {}
-        for feats, tags in sequences:
-            counted[tuple(feats), tuple(tags)] = counted.get((tuple(feats), tuple(tags)), 0) + 1
-        sequences, weight = list(counted), np.sqrt(np.array(list(counted.values()), dtype=float))  # rare shapes count for more
-        weight /= max(1.0, weight.sum())
-        n, k, t = len(sequences), len(TAGS), max((len(f) for f, _ in sequences), default=1)
-        x, y, mask = np.zeros((n, t, len(FEATURES))), np.zeros((n, t), dtype=int), np.zeros((n, t))
-        for i, (feats, tags) in enumerate(sequences):
-            for j, f in enumerate(feats):
-                x[i, j, list(f)] = 1
-            y[i, : len(tags)], mask[i, : len(tags)] = tags, 1
-        theta = [np.zeros((len(FEATURES), k)), np.zeros((k, k)), np.zeros(k)]
-        m, v = [np.zeros_like(p) for p in theta], [np.zeros_like(p) for p in theta]
-        gold = np.eye(k)[y] * (mask * weight[:, None])[:, :, None]
-        want = [np.einsum("ntf,ntk->fk", x, gold), np.einsum("ntj,ntk->jk", np.eye(k)[y[:, :-1]] * mask[:, :-1, None], gold[:, 1:]), gold[:, 0].sum(0)]
-        for step in range(1, steps + 1) if n else ():
-            e = x @ theta[0]
-            alpha, beta = np.zeros((n, t, k)), np.zeros((n, t, k))
-            alpha[:, 0] = e[:, 0] + theta[2]
-            for j in range(1, t):
-                new = np.logaddexp.reduce(alpha[:, j - 1, :, None] + theta[1], axis=1) + e[:, j]
-                alpha[:, j] = np.where(mask[:, j, None] > 0, new, alpha[:, j - 1])
-            z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-            for j in range(t - 2, -1, -1):
-                new = np.logaddexp.reduce(theta[1] + (e[:, j + 1] + beta[:, j + 1])[:, None, :], axis=2)
-                beta[:, j] = np.where(mask[:, j + 1, None] > 0, new, 0)
-            p = np.exp(np.minimum(alpha + beta - z[:, None, None], 0)) * (mask * weight[:, None])[:, :, None]
-            pair = np.zeros((k, k))
-            for j in range(1, t):
-                q = alpha[:, j - 1, :, None] + theta[1] + (e[:, j] + beta[:, j])[:, None, :] - z[:, None, None]
-                pair += (np.exp(np.minimum(q, 0)) * (mask[:, j] * weight)[:, None, None]).sum(0)
-            have = [np.einsum("ntf,ntk->fk", x, p), pair, p[:, 0].sum(0)]
+    def train(cls, sequences: list[Sequence], counts: dict[str, int], steps: int = 100, penalty: float = 4e-5) -> Field:
+        seen = Counter(x for feats, grams, _ in sequences for f, g in zip(feats, grams) for x in {*f, *g})
+        names = {"bias": 0}
+        for x in sorted(x for x, n in seen.items() if n >= 3):
+            names.setdefault(x, len(names))
+        n, k = len(sequences), len(TAGS)
+        theta = [np.zeros((len(names), k), dtype=np.float32), np.zeros((k, k)), np.zeros(k)]
+        if not n:
+            return cls(names, *theta, counts)
+        at, value, starts = cls.flatten(names, [f for s in sequences for f in s[0]], [g for s in sequences for g in s[1]])
+        of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(at))))
+        order = np.argsort(at, kind="stable")
+        used, first = np.unique(at[order], return_index=True)
+        by_value, by_clause = value[order], of[order]
+        tags = np.array([g for s in sequences for g in s[2]])
+        ends = np.cumsum([len(s[2]) for s in sequences])
+        lengths = np.diff(np.append(0, ends))
+        groups = [(ends[lengths == t] - t)[:, None] + np.arange(t) for t in np.unique(lengths)]  # clauses of the sequences of one length
+        m, v, mean = ([np.zeros_like(p) for p in theta] for _ in range(3))
+
+        def back(per_clause: np.ndarray) -> np.ndarray:
+            out = np.zeros_like(theta[0])
+            out[used] = np.add.reduceat(np.ascontiguousarray(per_clause.T)[:, by_clause] * by_value, first, axis=1).T
+            return out
+
+        gold = np.eye(k, dtype=np.float32)[tags]
+        want = [back(gold), sum(np.einsum("ntj,ntk->jk", gold[g[:, :-1]], gold[g[:, 1:]]) for g in groups), sum(gold[g[:, 0]].sum(0) for g in groups)]
+        for step in range(1, steps + 1):
+            e = np.add.reduceat(np.ascontiguousarray(theta[0].T)[:, at] * value, starts, axis=1).T
+            e = np.exp(e - e.max(axis=1, keepdims=True))
+            move, start = np.exp(theta[1] - theta[1].max()), np.exp(theta[2] - theta[2].max())
+            p, pair = np.zeros_like(e), np.zeros((k, k))
+            for g in groups:
+                own, t = e[g], g.shape[1]
+                ahead, norm = [start * own[:, 0]], []
+                for j in range(t):
+                    if j:
+                        ahead.append((ahead[-1] @ move) * own[:, j])
+                    norm.append(ahead[j].sum(axis=1, keepdims=True) + 1e-30)
+                    ahead[j] = ahead[j] / norm[j]
+                behind = np.ones_like(ahead[0])
+                for j in range(t - 1, -1, -1):
+                    p[g[:, j]] = ahead[j] * behind
+                    if j:
+                        next_ = own[:, j] * behind / norm[j]
+                        pair += move * (ahead[j - 1].T @ next_)
+                        behind = next_ @ move.T
+            have = [back(p.astype(np.float32)), pair, sum(p[g[:, 0]].sum(0) for g in groups)]
             for i in range(3):
-                g = have[i] - want[i] + penalty * theta[i]
+                g = (have[i] - want[i]) / n + penalty * theta[i]
                 m[i], v[i] = 0.9 * m[i] + 0.1 * g, 0.99 * v[i] + 0.01 * g * g
-                theta[i] = theta[i] - 0.15 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.99**step)) + 1e-8)
-        return cls(*theta)
-
-    def tag(self, feats: list[tuple[int, ...]]) -> list[int]:
-        """The most probable tags."""
-        score, back = None, []
-        for f in feats:
-            e = self.emit[list(f)].sum(0)
-            if score is None:
-                score = self.start + e
-            else:
-                step = score[:, None] + self.move
-                back.append(step.argmax(0))
-                score = step.max(0) + e
-        if score is None:
-            return []
-        out = [int(score.argmax())]
-        for b in reversed(back):
-            out.append(int(b[out[-1]]))
-        return out[::-1]
-
-
-def is_empty(output: str | None) -> bool:
-    """Nothing but blanks, punctuation, empty markup, a bare heading, or a note that there is no answer."""
-    if output is None:
-        return True
-    if len(output) > 500:  # what the start alone shows need not be looked for in the whole
-        start = output[:400]
-        start = start[: start.rfind("<")] if start.rfind("<") > start.rfind(">") else start
-        if len(fold(_MARKUP.sub(" ", start))) > 80:
-            return False
-    text = _MARKUP.sub(" ", output)
-    core = " ".join(_OTHER.sub(" ", text).split())
-    if not core:
-        return True
-    lines = [x for x in text.strip().splitlines() if fold(x)]
-    if len(core) > 80 or len(lines) != 1:
-        return False
-    line = lines[0].strip()
-    if _NO_ANSWER.fullmatch(core) or (line[:1] == "#" and "\n" not in output.strip() and len(core.split()) <= 3 and not line.endswith((".", "!", "?"))):
-        return True
-    return bool(_LABEL.fullmatch(line)) or bool(re.fullmatch(r"\W*[^\W\d_]+(?: [^\W\d_]+)?\s*:\W*", line)) or bool(re.fullmatch(rf"[\W_]*{LABELS}[\W_]*", line, re.I) and line[:1] in "#*=_-[(<")
-
-
-def examples(pairs: list[tuple[str, str]], seed: int = 7) -> list[tuple[list[tuple[int, ...]], list[int]]]:
-    """Training sequences: sound pairs, and damaged ones whose clause tags are known from the damage done."""
+                theta[i] = (theta[i] - 0.12 * (m[i] / (1 - 0.9**step)) / (np.sqrt(v[i] / (1 - 0.99**step)) + 1e-6)).astype(theta[i].dtype)
+                if 2 * step > steps:
+                    mean[i] += theta[i] / (steps - steps // 2)
+        return cls(names, *mean, counts)
+
+    def tag(self, rows: list[tuple[list[list[str]], list[list[str]]]], doubt: float = 0.0) -> list[list[int]]:
+        """The most probable tags of each answer; answers of one length are worked through together. ``doubt`` in nats speaks against sound ones."""
+        at, value, starts = self.flatten(self.names, [f for r in rows for f in r[0]], [g for r in rows for g in r[1]])
+        if not len(starts):
+            return [[] for _ in rows]
+        e = np.add.reduceat(self.emit[at] * value[:, None], starts, axis=0)
+        e[:, U] -= RARE if not doubt else 0.0
+        e[:, A] -= doubt
+        lengths = np.array([len(r[0]) for r in rows])
+        ends = np.cumsum(lengths)
+        out: list[list[int]] = [[] for _ in rows]
+        for t in np.unique(lengths):
+            who = np.flatnonzero(lengths == t)
+            own = e[(ends[who] - t)[:, None] + np.arange(t)]
+            score, back = self.start + own[:, 0], []
+            for j in range(1, t):
+                step = score[:, :, None] + self.move
+                back.append(step.argmax(1))
+                score = step.max(1) + own[:, j]
+            path = [score.argmax(1)]
+            for b in reversed(back):
+                path.append(b[np.arange(len(who)), path[-1]])
+            for w, tags in zip(who, np.stack(path[::-1], axis=1).tolist()):
+                out[w] = tags
+        return out
+
+
+def _refusal(rng: np.random.Generator, tongue: str, instruction: str) -> str:
+    openings, bodies, closes = seeds.REFUSALS[tongue]
+    pick = lambda xs, p: xs[int(rng.integers(len(xs)))] if rng.random() < p else ""
+    body = pick(bodies, 1)
+    opening = pick(openings, 0.6)
+    if not opening:
+        body = body[0].upper() + body[1:]
+    before = pick(seeds.RESTATED[tongue], 0.25)
+    ticks = re.search(r"`[^`\n]+`", instruction)
+    if before and ticks and rng.random() < 0.7:
+        before = before.rstrip(".").rsplit(" ", 1)[0] + f" {ticks[0]}."
+    return pick(("# ", "\n", "> "), 0.1) + " ".join(x for x in (before, opening, body, pick(closes, 0.45)) if x)
+
+
+def _note(rng: np.random.Generator) -> str:
+    """A text that is no answer."""
+    kind = rng.integers(4)
+    if kind == 0:
+        return str(rng.choice(["", " ", "\n\n", "-", "—", "...", "…", "???", "!", "\t\n", '""', "''", "``", "​", "\xa0", "***", "---", "[]", "{}", "()", "_", "."]))
+    if kind == 1:
+        tag = str(rng.choice(["p", "div", "span", "br/", "li", "code", "td"]))
+        return str(rng.choice([f"<{tag}></{tag}>", f"<{tag}>\n</{tag}>", f"<{tag}>", "&nbsp;", "```\n```", "```\n\n```", "```python\n```", "```sql\n\n```", "&#160;", f"<{tag}>\n<{tag}>"]))
+    if kind == 2:
+        label = str(rng.choice(seeds.LABELS))
+        return str(rng.choice([f"{label}:", f"{label}:\n", f"## {label}", f"# {label}\n", f"**{label}**", f"**{label}:**", f"### {label}:", label.upper() + ":"]))
+    note = str(rng.choice(seeds.NOTES))
+    note = str(rng.choice([note, note, note.upper(), note.capitalize(), note + "."]))
+    return str(rng.choice([note, note, f"[{note}]", f"({note})", f"<{note}>", f"*{note}*", f"{note}\n"]))
+
+
+def _cut(rng: np.random.Generator, text: str) -> str | None:
+    """The text broken off at a random place, or None where that does no damage: after a whole clause, or in an answer of a few words."""
+    if len(text.strip()) < 40:
+        return None
+    at = int(len(text) * (rng.uniform(0.1, 0.98) if rng.random() < 0.7 else rng.uniform(0.8, 0.99)))
+    if rng.random() < 0.5:  # after a token
+        found = re.match(r"\w*\s*", text[at:])
+        at += found.end() if found else 0
+    cut = text[:at]
+    if len(cut.strip()) < 20 or at >= len(text.rstrip()):
+        return None
+    whole, part = [c[1].strip() for c in clauses(text)], [c[1].strip() for c in clauses(cut)]
+    if part == whole[: len(part)] and not (len(whole) == 1):
+        return None
+    if rng.random() < 0.2 and text[at - 1 : at].isalpha():
+        cut += str(rng.choice(["...", "…", ","]))
+    return cut
+
+
+def examples(pairs: list[tuple[str, str]], reader: Reader, clean: list[bool] | None = None, seed: int = 7) -> list[Sequence]:
+    """Training sequences: pairs as they are, and damaged ones whose clause tags are known from the damage done.
+
+    Without ``clean`` all pairs count as sound, the few defective ones of the table included; with it only those marked.
+    """
     rng = np.random.default_rng(seed)
-    out, sound = [], []
-    for instruction, output in pairs:
-        found = clauses(output)
-        feats = featurise(instruction, found, "```" in output)
-        bad = {_F[x] for x in ("decline", "echo", "near_echo", "foreign", "open_prose", "open_code")}
-        if found and not any(bad.intersection(f) for f in feats) and len(found) <= MAX_CLAUSES:
-            sound.append((instruction, output))
-            out.append((feats, [A] * len(found)))
-    refusals = [(a, b, c) for a in _SAY_FIRST for b in _SAY for c in _SAY_LAST]
-    by_language: dict[str, list[str]] = {}
+    out: list[Sequence] = []
+
+    def add(instruction: str, output: str, tag) -> None:
+        got = reader.done.get((instruction, output)) if reader.done is not None else None
+        if got is None:
+            got = reader.read(instruction, output)
+            if reader.done is not None:
+                reader.done[instruction, output] = got
+        kinds, feats, _, grams = got
+        if len(kinds) <= MAX_CLAUSES:
+            out.append((feats, grams, tag(kinds)))
+
+    every = lambda tag: lambda kinds: [tag] * len(kinds)
+    sound = [p for i, p in enumerate(pairs) if clean is None or clean[i]]
+    tongues: dict[int, list[str]] = {}
     for _, output in sound:
-        if not is_code(output) and "```" not in output and (tongue := language(output)):
-            by_language.setdefault(tongue, []).append(output)
+        ws = [w for k, t in clauses(output) if k in ("prose", "item") for w in words_of(t)]
+        if len(ws) >= 6:
+            tongues.setdefault(int(reader.profiles.sum(ws).argmax()), []).append(output)
+    common = [k for k, v in tongues.items() if len(v) >= max(3, 0.01 * len(sound))]
+    samples = {k: _SENTENCE.split(v) for k, v in languages.SAMPLES.items()}
+    names = list(samples)
+    refused = list(seeds.REFUSALS)
     for instruction, output in sound:
-        a, b, c = refusals[int(rng.integers(len(refusals)))]
-        text = rng.choice(["", "", "# ", "You are asking about this. ", "Thank you for asking. However, ", "Vous demandez cela. ", "Du fragst danach. ", "Preguntas por esto. "]) + " ".join(x for x in (a, b, c) if x)
-        found = clauses(text)
-        out.append((featurise(instruction, found, False), [R] * len(found)))
-        found = clauses(instruction if rng.random() < 0.5 else "Question: " + instruction)
-        if found and len(found) <= MAX_CLAUSES:
-            out.append((featurise(instruction, found, False), [E] * len(found)))
-        own = allowed(instruction)
-        others = [k for k in sorted(by_language) if own and k not in own]
-        if others:
-            texts = by_language[others[int(rng.integers(len(others)))]]
-            found = clauses(texts[int(rng.integers(len(texts)))])
-            if len(found) <= MAX_CLAUSES:
-                out.append((featurise(instruction, found, False), [X] * len(found)))
-        if len(output) > 60:
-            cut = output[: int(len(output) * rng.uniform(0.4, 0.95))]
-            found = clauses(cut)
-            feats = featurise(instruction, found, "```" in cut)
-            if found and {_F["open_prose"], _F["open_code"]}.intersection(feats[-1]) and len(found) <= MAX_CLAUSES:
-                out.append((feats, [A] * (len(found) - 1) + [U]))
-        if not is_code(output) and "```" not in output:  # the question before its answer
-            first, rest = clauses(instruction), clauses(output)
-            if len(first) + len(rest) <= MAX_CLAUSES:
-                out.append((featurise(instruction, first + rest, False), [E] * len(first) + [A] * len(rest)))
-        if rng.random() < 0.3:  # an apology before an answer is an answer
-            text = f"Sorry for the delay, here it is: {output}"
-            found = clauses(text)
-            if len(found) <= MAX_CLAUSES:
-                out.append((featurise(instruction, found, "```" in text), [A] * len(found)))
+        add(instruction, output, every(A))
+        folded, may, _ = reader.ask(instruction)
+        damage = rng.random(5)
+        if damage[0] < 0.7:
+            own = [k for k in refused if may is not None and may[languages.LANGUAGES.index(k)]]
+            add(instruction, _refusal(rng, str(rng.choice(own)) if own and rng.random() < 0.8 else str(rng.choice(refused)), instruction), every(R))
+        if folded and damage[1] < 0.35:
+            said = [instruction, instruction.upper(), instruction.lower(), f"“{instruction}”", f'"{instruction}"', f"> {instruction}", f"{rng.choice(seeds.ECHO_LABELS)}: {instruction}", f"**{rng.choice(seeds.ECHO_LABELS)}:** {instruction}", f"{instruction}\n{instruction}", re.sub(r"[`.?!:]", "", instruction), f"  {instruction}\n"]
+            add(instruction, said[int(rng.integers(len(said)))], every(E))
+        elif folded and damage[1] < 0.5 and "```" not in instruction and not is_code(output):
+            first = clauses(instruction)
+            text = f"{instruction}\n\n{output}"
+            if [c[1] for c in clauses(text)[: len(first)]] == [c[1] for c in first]:
+                add(instruction, text, lambda kinds, n=len(first): [E] * n + [A] * (len(kinds) - n))
+        if may is not None and not may.all() and damage[2] < 0.4:
+            others = [k for k in common if not may[k]]
+            if others and rng.random() < 0.7:
+                texts = tongues[others[int(rng.integers(len(others)))]]
+                add(instruction, texts[int(rng.integers(len(texts)))], lambda kinds: [A if k in ("code", "open") else X for k in kinds])
+            else:
+                name = str(rng.choice([k for k in names if not may[languages.LANGUAGES.index(k)]]))
+                at = int(rng.integers(len(samples[name])))
+                add(instruction, " ".join(samples[name][at : at + 1 + int(rng.integers(3))]), every(X))
+        for _ in range(1 + (damage[3] < 0.3)):
+            cut = _cut(rng, output)
+            if cut:
+                add(instruction, cut, lambda kinds: [A] * (len(kinds) - 1) + [U])
+        if damage[4] < 0.45:
+            add(instruction, _note(rng), every(N))
+        elif damage[4] < 0.55:  # an apology before an answer is an answer
+            add(instruction, str(rng.choice(["Sorry for the delay, here it is: ", "Unfortunately this is slow, but it works: ", "Sorry, my first version was wrong.\n\n"])) + output, every(A))
+    for name, sentences in samples.items():  # answers in the language of their question, whichever it is
+        for i, first in enumerate(sentences):
+            add(first, sentences[(i + 2) % len(sentences)], every(A))
     return out
 
 
-_SAY_FIRST = ("", "I'm sorry, but", "Unfortunately,", "I apologize;", "Leider", "Je suis désolé, mais", "Lo siento, pero")
-_SAY = ("I cannot help with this request.", "I am unable to answer that.", "this goes against my guidelines.", "ich kann ich dabei nicht helfen.", "je dois refuser cette demande.", "no puedo ayudar con eso.")
-_SAY_LAST = ("", "Let me know if you have another question.", "Please consult an expert.", "Bitte wende dich an eine Fachperson.", "Veuillez consulter un spécialiste.", "Por favor, consulta a un especialista.")
-
-
-def defect(instruction: str, output: str | None, field: Field, memo: dict | None = None) -> str | None:
-    """The defect of one pair, or None: empty, copies_question, refusal, other_language or truncated."""
-    if is_empty(output):
-        return "empty"
-    found = clauses(output)
-    if not found:
+def fit(pairs: list[tuple[str, str]], seed: int = 7) -> Field:
+    """A field from pairs of the table. Fields of either half tell which pairs of the other seem defective; the last is trained without these."""
+    texts = list(dict.fromkeys(pairs))
+    sound = list(seeds.SOUND) * 3
+    counts = Counter(w for _, o in [*texts, *seeds.SOUND] for w in {x.casefold() for x in _TOKENS.findall(o)} if not w.isdigit())
+    reader = Reader(counts, 2)  # a word of the pair itself is known if another pair has it, too
+    reader.done = {}  # pairs are used more than once
+    clean = [True] * len(texts)
+    for half in (0, 1):
+        first = Field.train(examples([*texts[half::2], *seeds.SOUND], reader, None, seed), counts, steps=30)
+        read = [reader.read(*p) for p in texts[1 - half :: 2]]
+        clean[1 - half :: 2] = [all(t == A for t in tags) for tags in first.tag([(f, g) for _, f, _, g in read], DOUBT)]
+    return Field.train(examples([*texts, *sound], reader, [*clean, *[True] * len(sound)], seed + 1), counts)
+
+
+def decide(kinds: list[str], sizes: list[int], tags: list[int], folded: str) -> str | None:
+    """The defect of a tagged answer, from what each tag covers; None for a proper answer."""
+    cover = [0] * len(TAGS)
+    for n, g in zip(sizes, tags):
+        cover[g] += n
+    total = sum(sizes)
+    if cover[N] >= COVERED * total:
         return "empty"
-    size: list[int] = []
-    feats = featurise(instruction, found, "```" in output, size)
-    key = tuple(feats)
-    tags = None if memo is None else memo.get(key)
-    if tags is None:
-        tags = field.tag(feats)
-        if memo is not None:
-            if len(memo) > 200_000:
-                memo.clear()
-            memo[key] = tags
-    cover = [sum(n for n, g in zip(size, tags) if g == tag) for tag in range(len(TAGS))]
-    total = sum(size)
-    # a field tags clause by clause; what the whole answer says of itself comes first
-    said_again = {_F["echo"], _F["near_echo"]}
-    cover[E] = sum(n for n, g, f in zip(size, tags, feats) if g == E and said_again.intersection(f))  # not what only stands beside an echo
-    if cover[E] and cover[E] + sum(n for n, f in zip(size, feats) if _F["label"] in f) >= 0.9 * total and cover[E] >= 0.5 * len(fold(instruction)):
+    if cover[E] >= COVERED * total and cover[E] >= 0.5 * len(folded):
         return "copies_question"
-    if cover[R] and cover[R] + cover[E] == total:
+    if cover[R] and cover[R] + cover[E] + cover[N] >= COVERED * total:
         return "refusal"
-    prose = sum(n for n, (k, _) in zip(size, found) if k in ("prose", "item"))
+    prose = sum(n for n, k in zip(sizes, kinds) if k in ("prose", "item"))
     if cover[X] and cover[X] >= FOREIGN_SHARE * prose and cover[X] > cover[R]:
         return "other_language"
     return "truncated" if tags[-1] == U else None
 
 
+def defects(pairs: list[tuple[str | None, str | None]], field: Field, reader: Reader | None = None) -> list[str | None]:
+    """The defect of each pair, or None. A null answer is ``empty``; without an instruction nothing is told."""
+    reader = reader or Reader(field.counts)
+    at = [n for n, (i, o) in enumerate(pairs) if i and i.strip() and o is not None]
+    read = [reader.read(*pairs[n]) for n in at]
+    out = ["empty" if i and i.strip() and o is None else None for i, o in pairs]
+    for n, (kinds, _, sizes, _), tags in zip(at, read, field.tag([(f, g) for _, f, _, g in read])):
+        out[n] = decide(kinds, sizes, tags, reader.ask(pairs[n][0])[0])
+    return out
+
+
 def trained(df: DataFrame, most: int = MAX_TRAINING) -> Field:
     """A field trained on at most ``most`` distinct pairs of ``df``, those of the smallest hash of instruction and output."""
     step = max(1, df.count() // (8 * most))  # thins by hash first, so that tasks don't each send a whole sample
-    rows = df.select("instruction", "output").filter("instruction is not null and output is not null and length(output) between 20 and 4000").withColumn("h", F.xxhash64("instruction", "output"))
+    rows = df.select("instruction", "output").filter(f"trim(instruction) <> '' and length(output) between 1 and {MAX_TRAINING_CHARS}").withColumn("h", F.xxhash64("instruction", "output"))
     rows = rows.filter(F.pmod("h", F.lit(step)) == 0).dropDuplicates(["instruction", "output"]).orderBy("h", "instruction", "output").limit(most).collect()
-    return Field.train(examples([(r["instruction"], r["output"]) for r in rows]))
+    return fit([(r["instruction"], r["output"]) for r in rows])
 
 
 def found(df: DataFrame, order: str = "ordinal", most: int = MAX_TRAINING, field: Field | None = None) -> DataFrame:
@@ -442,14 +561,15 @@ def found(df: DataFrame, order: str = "ordinal", most: int = MAX_TRAINING, field
     Rows with a null or blank instruction take no part. Whole answers are tagged, whatever their length. Repeated rows
     and keys each keep their row.
     """
-    field = field or trained(df, most)
+    shared = df.sparkSession.sparkContext.broadcast(field or trained(df, most))
 
     def tag(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict = {}
+        reader = Reader(shared.value.counts)
         for pdf in batches:
-            kinds = [defect(i, o, field, memo) if i and i.strip() else None for i, o in zip(pdf["i"], pdf["o"])]
-            at = [k for k, x in enumerate(kinds) if x]
-            yield pd.DataFrame({"ordinal": pdf["ordinal"].to_numpy()[at], "defect": [kinds[k] for k in at]})
+            for at in range(0, len(pdf), 1_000):
+                part = pdf.iloc[at : at + 1_000]
+                kinds = defects(list(zip(part["i"], part["o"])), shared.value, reader)
+                yield pd.DataFrame({"ordinal": [k for k, x in zip(part["ordinal"], kinds) if x], "defect": [x for x in kinds if x]})
 
     rows = df.select(F.col(order).cast("long").alias("ordinal"), F.col("instruction").alias("i"), F.col("output").alias("o")).filter("i is not null")
     return rows.mapInPandas(tag, "ordinal long, defect string")
