@@ -134,15 +134,15 @@ class Reader:
             got = self.asked[instruction] = (fold(instruction), may, frozenset(_TOKENS.findall(instruction.casefold())))
         return got
 
-    def _echo(self, own: str, folded: str) -> int:
-        """How much of a folded clause stands in the folded instruction, from 0 to 5; 6 and 7 for short ones."""
+    def _echo(self, own: str, folded: str) -> float:
+        """The share of a folded clause that stands in the folded instruction; of a short one, whether all does."""
         n = len(own) - 7
         if n < 5:
-            return 6 + (bool(own) and own in folded)
+            return float(bool(own) and own in folded)
         if sum(own[j : j + 8] in folded for j in range(0, n, max(1, n // 5))) < 2:
-            return 0
+            return 0.0
         at = range(0, n, max(1, n // 60))
-        return _bin(sum(own[j : j + 8] in folded for j in at) / len(at), (0.1, 0.3, 0.6, 0.85, 0.97))
+        return sum(own[j : j + 8] in folded for j in at) / len(at)
 
     def _token(self, text: str, tokens: frozenset) -> str:
         """What is known of the word that the text ends with."""
@@ -245,10 +245,10 @@ class Reader:
             own, ws, last = fold(text), texts[i], i == n - 1
             sizes.append(len(own) or 1)
             echo = self._echo(own, folded)
-            if echo in (2, 3, 4) and (label := _LABEL.match(text)):
+            if 0.1 < echo < 0.97 and (label := _LABEL.match(text)):
                 echo = max(echo, self._echo(fold(text[label.end() :]), folded))
-            f = ["bias", f"k {kind}", f"e {echo}", f"ek {echo} {kind}", f"at {min(i, 2)} {last}", f"n {min(n, 4)}"]
-            if echo >= 4:
+            f = ["bias", f"k {kind}", f"e {_bin(echo, (0.6, 0.85, 0.97))} {len(own) < 12}", f"at {min(i, 2)} {last}", f"n {min(n, 4)}"]
+            if echo >= 0.6:
                 f.append(f"er {_bin(len(own) / (len(folded) + 1), (0.3, 0.7, 1.3))}")
             if len(own) < 40:
                 f.append(f"x {bool(fold(_MARKUP.sub(' ', text)))} {kind} {min(n, 3)}")
