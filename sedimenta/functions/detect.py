@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sedimenta.functions.text import let
 
-# Patterns of each language, in the order that decides ties. B stands for a word boundary.
+# Patterns of each language, in the order that decides ties.
 DETECTORS = (
     ("Python", (r"\bdef\b", r"\bimport\b", r"\bclass\b.*:", r"if __name__")),
     ("JavaScript", (r"\bfunction\b", r"\bconst\b", r"\blet\b", r"=>")),
@@ -20,7 +20,7 @@ DETECTORS = (
     ("Rust", (r"\bfn\b", r"\blet\s+mut\b", r"\bimpl\b", r"->.*Result")),
     ("Go", (r"\bfunc\b", r"\bpackage\b", r"\bfmt\.Print")),
     ("SQL", (r"\bSELECT\b", r"\bFROM\b", r"\bWHERE\b", r"\bJOIN\b")),
-    ("Shell/Bash", (r"#!/bin/(?:ba)?sh", r"\becho\b", r"\$\{.*\}")),
+    ("Shell/Bash", (r"#!/bin/(ba)?sh", r"\becho\b", r"\$\{.*\}")),
     ("Ruby", (r"\bdef\b.*\bend\b", r"\bputs\b", r"\brequire\b")),
     ("PHP", (r"<\?php", r"\$\w+\s*=", r"\becho\b")),
 )
@@ -28,7 +28,7 @@ DETECTORS = (
 
 def literal(pattern: str) -> str:
     """The longest text that every match of the pattern holds: what is left between its classes, groups and repeats."""
-    plain = re.sub(r"\(\?:[^)]*\)\??|\[[^\]]*\]|\\[bsw][*+?]?|\.\*|\\[^.{}$(]|.[*+?]", "\0", pattern).replace("\\", "")
+    plain = re.sub(r"\((?:\?:)?[^)]*\)\??|\[[^\]]*\]|\\[bsw][*+?]?|\.\*|\\[^.{}$(]|.[*+?]", "\0", pattern).replace("\\", "")
     return max(plain.split("\0"), key=len)
 
 

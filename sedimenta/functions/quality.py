@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from sedimenta.functions.text import let, lines, strip
 
 # Languages that count as known, beginnings of comment lines, signs of generated files, good characters.
-KNOWN_LANGUAGES = tuple("python javascript typescript java c c++ c# go rust ruby php swift kotlin scala r matlab shell bash sql html css markdown haskell ocaml erlang elixir clojure julia lua perl".split())
+KNOWN_LANGUAGES = (
+    "python", "javascript", "typescript", "java", "c", "c++", "c#", "go", "rust", "ruby", "php", "swift", "kotlin", "scala", "r", "matlab", "shell", "bash", "sql", "html", "css", "markdown", "haskell", "ocaml", "erlang", "elixir", "clojure", "julia", "lua", "perl",
+)
 COMMENT = r"^(?:#|//|--|;|%|/\*|\*|\"\"\"|''')"
 AUTOGEN_PATTERNS = (r"auto[-_]?generated", r"\bdo\s+not\s+edit\b", r"generated\s+by\b", r"@generated", r"this\s+file\s+is\s+generated", r"machine[-_]generated", r"automatically\s+generated")
 NOT_GOOD = r"[^\p{L}\p{N} \t\n\r_.,()\[\]{}:;\"'=\-+*/\\|<>!@#$%^&~`]"

@@ -71,3 +71,14 @@ def build(df: DataFrame, column: str, capacity: int, fpr: float = 0.001) -> Bloo
         out.bits[r["at"] : r["at"] + step] = np.frombuffer(r["bits"], dtype=np.uint8)
         out.count += r["n"]
     return out
+
+
+def members(df: DataFrame, column: str, bloom: BloomFilter, name: str = "member") -> DataFrame:
+    """``df`` with whether the filter may hold the value of ``column``; null for null. False is certain, true is not."""
+    shared = df.sparkSession.sparkContext.broadcast(bloom)
+
+    @F.pandas_udf("boolean")
+    def test(values: pd.Series) -> pd.Series:
+        return pd.Series([None if x is None else x in shared.value for x in values], dtype=object)
+
+    return df.withColumn(name, test(F.col(column).cast("string")))

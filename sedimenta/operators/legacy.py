@@ -12,9 +12,9 @@ from sedimenta.functions.text import is_blank, strip, unix_lines
 from sedimenta.operators import dedup
 
 # Names of text, output and instruction columns.
-TEXT_HINTS = tuple("text content code prompt response input output instruction answer question body solution func_code_string whole_func_string func_documentation_string docstring problem_statement patch hint".split())
-OUTPUT_COLUMNS = tuple("output response code content answer solution func_code_string whole_func_string patch".split())
-INSTRUCTION_COLUMNS = tuple("instruction prompt question input problem_statement func_documentation_string docstring hint body".split())
+TEXT_HINTS = ("text", "content", "code", "prompt", "response", "input", "output", "instruction", "answer", "question", "body", "solution", "func_code_string", "whole_func_string", "func_documentation_string", "docstring", "problem_statement", "patch", "hint")
+OUTPUT_COLUMNS = ("output", "response", "code", "content", "answer", "solution", "func_code_string", "whole_func_string", "patch")
+INSTRUCTION_COLUMNS = ("instruction", "prompt", "question", "input", "problem_statement", "func_documentation_string", "docstring", "hint", "body")
 CHARS_PER_TOKEN = 4.0
 
 
@@ -39,9 +39,9 @@ def line_endings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def empty(df: DataFrame, names: tuple[str, ...]) -> Column:
-    """Whether any of the columns that exist is empty: null, or blank if it is a text."""
-    kinds = dict(df.dtypes)
-    return reduce(lambda a, b: a | b, ((is_blank(F.col(c)) if kinds[c] == "string" else F.col(c).isNull()) for c in names if c in kinds), F.lit(False))
+    """Whether any of the columns that exist, letter case of their names aside, is empty: null, or blank if it is a text."""
+    own = [(c, kind) for c, kind in df.dtypes if c.lower() in names]
+    return reduce(lambda a, b: a | b, ((is_blank(F.col(f"`{c}`")) if kind == "string" else F.col(f"`{c}`").isNull()) for c, kind in own), F.lit(False))
 
 
 def text_length(df: DataFrame, columns: list[str] | None = None) -> Column:

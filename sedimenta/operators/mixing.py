@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sedimenta.operators.dedup import occurrence
+from sedimenta.session import materialise
 
 log = logging.getLogger(__name__)
 STRATEGIES = ("approximate", "exact", "oversample")
@@ -106,7 +107,7 @@ def approximate(df: DataFrame, c: MixConfig, source: str = "dataset", order: str
     own = df.withColumn("_w", weight).filter("_w > 0")
     sizes = own.groupBy(source).agg(F.count("*").alias("_size"))  # a row per configured source
     uniform = (F.pmod(F.xxhash64(F.lit(c.seed), F.col(source), F.col(order)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
-    return own.join(sizes, source).withColumn("_mix_at", uniform * F.col("_size") / F.col("_w")).drop("_w", "_size")
+    return own.join(F.broadcast(sizes), source).withColumn("_mix_at", uniform * F.col("_size") / F.col("_w")).drop("_w", "_size")
 
 
 def _ranked(df: DataFrame, targets: dict[str, int], source: str, order: str) -> DataFrame:
@@ -128,7 +129,7 @@ def exact(df: DataFrame, targets: dict[str, int], source: str = "dataset", order
 def oversample(df: DataFrame, targets: dict[str, int], source: str = "dataset", order: str = "ordinal") -> DataFrame:
     """Each source's target of rows, its first rows, cycled where it is short; ``_mix_use`` counts a row's uses."""
     sizes = df.filter(F.col(source).isin(list(targets))).groupBy(source).agg(F.count("*").alias("_size"))  # a row per configured source
-    ranked = _ranked(df, targets, source, order).join(sizes, source)
+    ranked = _ranked(df, targets, source, order).join(F.broadcast(sizes), source)
     goal = _by(source, targets, 0)
     return ranked.filter(F.col("_rn") <= goal).withColumn("_at", F.explode(F.sequence(F.col("_rn").cast("long"), goal.cast("long"), F.col("_size")))).withColumn("_mix_use", (F.expr("(_at - 1) div _size") + 1).cast("int")).drop("_rn", "_size", "_at")
 
@@ -153,8 +154,40 @@ def cap_sources(df: DataFrame, caps: dict[str, int] | None, source: str = "_sour
 
 
 def cap_total(df: DataFrame, total: int | None, *order: str) -> DataFrame:
-    """The first rows of the whole in the given order."""
-    return df if not total else df.orderBy(*order).limit(total)
+    """The first rows of the whole in the given order.
+
+    A few rows are taken by a top-k of each task. For more, the rows are range-sorted and written by partition, and
+    counts per partition tell which are taken whole and how many rows of the one after them.
+    """
+    if not total:
+        return df
+    if total <= LIMITED:
+        return df.orderBy(*order).limit(total)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = materialise(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "first", "_part")
+    rest, whole = total, -1
+    for r in sorted_.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():  # a row per partition
+        if r["n"] > rest:
+            cut = sorted_.filter(F.col("_part") == r["_part"]).orderBy(*order).limit(rest)  # within one partition
+            return sorted_.filter(F.col("_part") <= whole).unionByName(cut).drop("_part")
+        rest, whole = rest - r["n"], r["_part"]
+    return sorted_.drop("_part")
+
+
+def dense(df: DataFrame, *order: str, name: str = "_n") -> DataFrame:
+    """``df``, written by ranges of the order, with the dense number of each row from 1.
+
+    A row's number is that within its range and the rows of the ranges before, of which the driver holds one count each.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = materialise(df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "dense")
+    before, total = [], 0
+    for r in parts.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():
+        before.append((r["_part"], total))
+        total += r["n"]
+    offsets = df.sparkSession.createDataFrame(before, "_part int, _before long")
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return parts.withColumn(name, local).join(F.broadcast(offsets), "_part").withColumn(name, F.col(name) + F.col("_before")).drop("_part", "_before")
 
 
 def shuffled(df: DataFrame, seed: int, *columns: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sedimenta.functions.detect import detect_language
@@ -15,12 +15,12 @@ from sedimenta.operators.legacy import TEXT_HINTS
 HISTOGRAM = (64, 128, 256, 512, 1024, 2048, 4096, 8192)
 
 
-def text_flags(df: DataFrame, first: int = 200) -> dict[str, bool]:
-    """Whether each column holds text: by its name, or a string column at least half filled in the first rows read."""
+def text_flags(df: DataFrame) -> dict[str, bool]:
+    """Whether each column holds text: by its name, or a string column at least half filled."""
     out = {c: any(h in c.lower() for h in TEXT_HINTS) for c in df.columns}
     unsure = [c for c, kind in df.dtypes if kind == "string" and not out[c]]
     if unsure:
-        row = df.select(*(F.col(f"`{c}`") for c in unsure)).limit(first).agg(F.count("*").alias("_n"), *(F.count(F.col(f"`{c}`")).alias(c) for c in unsure)).first()
+        row = df.select(*(F.col(f"`{c}`") for c in unsure)).agg(F.count("*").alias("_n"), *(F.count(F.col(f"`{c}`")).alias(c) for c in unsure)).first()
         out |= {c: row["_n"] > 0 and row[c] >= 0.5 * row["_n"] for c in unsure}
     return out
 
@@ -68,9 +68,3 @@ def source_stats(df: DataFrame, source: str = "dataset", caps: dict[str, int] |
     per = per.withColumns({"dropped": F.col("raw") - F.col("converted"), "sampled": cap})
     total = per.rollup("source").agg(*(F.sum(c).alias(c) for c in ("raw", "converted", "dropped", "sampled")))
     return total.withColumns({"source": F.coalesce("source", F.lit("TOTAL")), "drop_pct": F.round(100.0 * F.col("dropped") / F.greatest(F.col("raw"), F.lit(1)), 2)})
-
-
-def sections(df: DataFrame, by: str) -> DataFrame:
-    """Share of each value of a column among all rows."""
-    counts = df.groupBy(by).agg(F.count("*").alias("n_rows"))
-    return counts.withColumn("share", F.round(F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy()), 6))  # a row per value

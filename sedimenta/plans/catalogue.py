@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.functions import quality as Q
 from sedimenta.functions import text as X
 from sedimenta.functions.detect import DETECTORS, detect_language
 from sedimenta.functions.metrics import contains_code_block, evaluate, evaluate_each, pass_at_k
-from sedimenta.operators import curate, dedup, formats, legacy, mixing, profile, tokenise
+from sedimenta.operators import bloom, curate, dedup, formats, legacy, mixing, profile, tokenise
 from sedimenta.operators.adapters import INPUT_FIELDS, INSTRUCTION_FIELDS, OUTPUT_FIELDS, REPOSITORY_HOST, adapt_mixed
 from sedimenta.schema import CANONICAL, TASK_TYPES, decode_metadata, encode_metadata, errors, from_storage, make_id
+from sedimenta.plans import pipeline
+from sedimenta.plans.registry import enabled, entries_of
 from sedimenta.session import shared_dir, table
+from sedimenta.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,18 +78,83 @@ def _profile(s: SparkSession, d: str) -> DataFrame:
 
 
 def _stream(s: SparkSession, d: str) -> DataFrame:
-    """The stream of the table's files, run to its end, with its result read back and counted."""
-    import uuid
-
+    """The table in several files as a stream of as many batches, run to its end, with its result read back and counted."""
     from sedimenta.streaming.curate import keep_copies, read_stream, start
 
-    at = f"{shared_dir(s)}/stream-{uuid.uuid4().hex}"
-    rows = read_stream(s, f"{d}/canonical_examples.parquet*", CANONICAL, 4).filter("output is not null").select("id", "output")
+    at = _place(s, "stream")
+    examples(s, d).select("id", "output").repartition(3).write.parquet(f"{at}/in")
+    rows = read_stream(s, f"{at}/in", T.StructType([f for f in CANONICAL.fields if f.name in ("id", "output")]), 1).filter("output is not null").select("id", "output")
     start(keep_copies(rows), f"{at}/out", f"{at}/checkpoint").awaitTermination()
     kept = s.read.schema("id string, output string").parquet(f"{at}/out")
     return kept.groupBy(F.sha2("output", 256).alias("output_hash")).agg(F.count("*").alias("n_kept"))
 
 
+def _place(s: SparkSession, name: str) -> str:
+    return f"{shared_dir(s)}/{name}-{uuid.uuid4().hex}"
+
+
+def _jsonl_rows(s: SparkSession, d: str) -> DataFrame:
+    """The raw lines as files, one folder for each dataset, read by the source of JSON lines with the registry's adapters."""
+    at = _place(s, "lines")
+    table(s, d, "raw_records").filter("raw_line is not null").select("dataset", "raw_line").write.partitionBy("dataset").text(at)
+    out = None
+    for e in entries_of(table(s, d, "dataset_registry")):
+        own = files.jsonl_source(s, [f"{at}/dataset={e.name}", f"{at}/missing"], e.name, e.adapter or "generic", e.license, e.task_type).select("dataset", "id", "task_type", "instruction", "input", "output")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def _shards(s: SparkSession, d: str, ratio: float) -> str:
+    at = _place(s, "shards")
+    sinks.write_shards(examples(s, d), at, shard_rows=SHARD_ROWS, val_ratio=ratio, seed=SEED, named=True)
+    return at
+
+
+def _stored_rows(s: SparkSession, d: str) -> DataFrame:
+    """The table written in shards, with a broken file among them, and read back as canonical rows."""
+    at = _shards(s, d, 0.0)
+    sinks.write_text(s, f"{at}/train-99999.parquet", "no parquet")
+    return files.processed_shards(s, at).groupBy("dataset").agg(F.count("*").alias("n_rows"), F.sum(F.length("output")).alias("n_chars"), F.count_if(F.col("license") == "unknown").alias("n_unknown"))
+
+
+def _sidecar(s: SparkSession, d: str) -> DataFrame:
+    m = sinks.write_sidecar(s, _shards(s, d, VAL_RATIO), "examples")
+    named = all(f.startswith(("train-0", "val-0")) and f.endswith(".parquet") for f in m["files"])
+    return s.createDataFrame([(m["dataset"], m["train_rows"], m["val_rows"], m["total_rows"], named)], "dataset string, train_rows long, val_rows long, total_rows long, named boolean")
+
+
+def _training_file(s: SparkSession, d: str) -> DataFrame:
+    at = _place(s, "alpaca")
+    sinks.write_alpaca(examples(s, d), at)
+    return files.load_jsonl(s, at, "instruction string, input string, output string")
+
+
+def _enabled(s: SparkSession, d: str) -> DataFrame:
+    """The registry as entries, checked, and those that are enabled."""
+    return s.createDataFrame([(e.name, e.shard_size or 50_000) for e in enabled(entries_of(table(s, d, "dataset_registry")))], "name string, shard_rows int")
+
+
+def _bloom(s: SparkSession, d: str) -> DataFrame:
+    texts = table(s, d, "documents").select("text").filter("text is not null")
+    made = bloom.build(texts, "text", 1_000_000)
+    return bloom.members(texts, "text", made).agg(F.count("*").alias("n_texts"), F.count_if("member").alias("n_found"))
+
+
+def _shuffled(s: SparkSession, d: str) -> DataFrame:
+    """The place of each row in the shuffled table."""
+    rows = mixing.shuffled(examples(s, d).select("ordinal"), SEED, "ordinal").withColumn("_at", F.monotonically_increasing_id())
+    return mixing.dense(rows, "_at", name="place").select("ordinal", F.col("place").cast("long").alias("place"))
+
+
+def _run(s: SparkSession, d: str) -> DataFrame:
+    """A dry run over the enabled datasets; what its manifest says of each."""
+    entries = enabled(entries_of(table(s, d, "dataset_registry")))
+    rows = prepared(s, d)
+    m = pipeline.run(s, entries, {e.name: rows.filter(F.col("dataset") == e.name) for e in entries}, _place(s, "run"), dry_run=True)
+    keys = ("source_rows", "dropped_cleaning", "dropped_quality", "dropped_dedup", "yielded")
+    return s.createDataFrame([(n, *(int(x[k]) for k in keys)) for n, x in m.sources.items()], "dataset string, " + ", ".join(f"{k} long" for k in keys))
+
+
 def _caps(s: SparkSession, d: str) -> DataFrame:
     caps = mixing.source_caps(list(EXACT.ratios), mixing.parse_ratios(EXACT.ratios), 500)
     alpaca = formats.to_alpaca(examples(s, d), "ordinal").filter(F.col("_source").isin(*caps))
@@ -132,7 +202,7 @@ def queries() -> dict[str, Query]:
         "mix_approximate": lambda s, d: mixing.mix_stats(mixing.approximate(examples(s, d), APPROXIMATE)),
         "source_caps": _caps,
         "total_cap": lambda s, d: mixing.cap_total(formats.to_alpaca(examples(s, d), "ordinal"), 700, "_source", "ordinal").select("ordinal", F.col("_source").alias("source")),
-        "shuffled_ranks": lambda s, d: examples(s, d).select("ordinal", mixing.random_key(SEED, "ordinal").alias("place")),
+        "shuffled_ranks": _shuffled,
         "random_sample": lambda s, d: mixing.sample(examples(s, d).select("ordinal", "dataset"), 100, SEED, "ordinal"),
         "train_val_split": lambda s, d: mixing.split(mixing.numbered(examples(s, d).select("ordinal"), "ordinal", SHARD_ROWS), VAL_RATIO, SEED, "shard", "ordinal").select("ordinal", "split"),
         "chat_texts": lambda s, d: prepared(s, d).select("ordinal", formats.render(formats.chat_messages(F.col("instruction"), F.col("input"), F.col("output"))).alias("chat")),
@@ -145,7 +215,13 @@ def queries() -> dict[str, Query]:
         "code_blocks": lambda s, d: examples(s, d).groupBy("dataset").agg(F.count("*").alias("n_rows"), F.count_if(contains_code_block(F.col("output"))).alias("n_blocks")),
         "pass_at_k": _pass_at_k,
         "metadata_keys": _metadata,
-        "enabled_datasets": lambda s, d: table(s, d, "dataset_registry").filter("enabled").select("name", F.coalesce("shard_size", F.lit(50_000)).alias("shard_rows")),
+        "enabled_datasets": _enabled,
+        "jsonl_rows": _jsonl_rows,
+        "stored_rows": _stored_rows,
+        "shard_sidecar": _sidecar,
+        "training_file": _training_file,
+        "bloom_members": _bloom,
+        "run_manifest": _run,
         "stream_keep_two": _stream,
     }
 
@@ -243,6 +319,15 @@ o AS (SELECT raw_id, dataset, {task} AS task_type, {language} AS language, {repo
 SELECT *, sha256(instruction || chr(0) || output) AS id FROM o WHERE instruction <> '' AND output <> ''"""
 
 
+def _run_sql() -> str:
+    """The curation chain over the enabled datasets, copies counted in the order of the registry."""
+    prepared_ = f"""r AS (SELECT name, row_number() OVER () AS entry FROM dataset_registry), e AS (SELECT entry * 1000000000000 + ordinal AS ordinal, dataset, coalesce(instruction, '') AS instruction, coalesce(input, '') AS input, coalesce(output, '') AS output,
+      coalesce(nullif(lower({_strip("language")}), ''), 'unknown') AS language FROM canonical_examples JOIN r ON r.name = dataset JOIN dataset_registry g ON g.name = r.name AND g.enabled)"""
+    chain = f"WITH {prepared_}, {_CLEANED}, {_scores('c')}, f AS (SELECT *, row_number() OVER (PARTITION BY output ORDER BY ordinal) AS n FROM q WHERE score >= 0.3)"
+    count = lambda why, name: f"count(*) FILTER (WHERE why = '{why}') AS {name}"
+    return f"{chain}, m AS (SELECT e.dataset, CASE WHEN q.ordinal IS NULL THEN 'cleaning' WHEN q.score < 0.3 THEN 'quality' WHEN f.n > 2 THEN 'dedup' ELSE 'kept' END AS why FROM e LEFT JOIN q USING (ordinal) LEFT JOIN f USING (ordinal)) SELECT dataset, count(*) AS source_rows, {count('cleaning', 'dropped_cleaning')}, {count('quality', 'dropped_quality')}, {count('dedup', 'dropped_dedup')}, {count('kept', 'yielded')} FROM m GROUP BY dataset"
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for each query that SQL can state."""
     over = "WITH " + _targets(OVER.targets)
@@ -280,7 +365,7 @@ def oracle_sql() -> dict[str, str]:
         "dedup_numbers": "SELECT ordinal, row_number() OVER (PARTITION BY output ORDER BY ordinal) AS n FROM canonical_examples WHERE output IS NOT NULL",
         "dedup_stats": "WITH c AS (SELECT count(*) AS n FROM canonical_examples WHERE output IS NOT NULL GROUP BY output) SELECT sum(n)::BIGINT AS total_seen, sum(n - 1)::BIGINT AS repeats, sum(greatest(n - 2, 0))::BIGINT AS dropped, count(*) AS \"distinct\" FROM c",
         "dedup_copies": "WITH c AS (SELECT count(*) AS n_copies FROM documents WHERE text IS NOT NULL GROUP BY text) SELECT n_copies, count(*) AS n_values FROM c GROUP BY 1",
-        "duplicate_rows": "WITH c AS (SELECT count(*) AS n FROM (SELECT text, lang FROM documents ORDER BY doc_id LIMIT 500000) GROUP BY text, lang) SELECT (SELECT count(*) FROM documents) AS n_rows, sum(n - 1)::BIGINT AS n_duplicates, round(100.0::DOUBLE * sum(n - 1) / (SELECT count(*) FROM documents), 4) AS duplicate_pct FROM c",
+        "duplicate_rows": "WITH c AS (SELECT count(*) AS n FROM (SELECT text, lang FROM documents) GROUP BY text, lang) SELECT (SELECT count(*) FROM documents) AS n_rows, sum(n - 1)::BIGINT AS n_duplicates, round(100.0::DOUBLE * sum(n - 1) / (SELECT count(*) FROM documents), 4) AS duplicate_pct FROM c",
         "unseen_outputs": "SELECT ordinal FROM canonical_examples WHERE output IS NOT NULL AND output NOT IN (SELECT text FROM documents WHERE text IS NOT NULL)",
         "legacy_cleaned": f"WITH {ruled} SELECT ordinal, instruction, output FROM u WHERE rule = 0 QUALIFY row_number() OVER (PARTITION BY instruction, output ORDER BY ordinal) = 1",
         "legacy_stats": f"WITH {ruled}, z AS (SELECT count(*) AS o, count_if(rule = 1) AS a, count_if(rule = 2) AS b, count_if(rule = 3) AS c, count_if(rule = 0) AS k FROM u), y AS (SELECT count(*) AS n FROM (SELECT DISTINCT instruction, output FROM u WHERE rule = 0)) SELECT o AS original_rows, a AS removed_empty_outputs, b AS removed_empty_instructions, c AS removed_long, k - n AS removed_duplicate_rows, 0 AS removed_duplicate_texts, n AS final_rows, o - n AS total_removed, round(100.0::DOUBLE * n / o, 2) AS retention_pct FROM z, y",
@@ -296,7 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "mix_approximate": "WITH c AS (SELECT dataset, count(*) AS n_rows FROM canonical_examples WHERE dataset IN ('forge_stack', 'tiny_katas') GROUP BY dataset) SELECT dataset, n_rows, round(n_rows::DOUBLE / sum(n_rows) OVER (), 4) AS actual_ratio FROM c",
         "source_caps": f"WITH {_ALPACA}, {_targets(caps)} SELECT ordinal, source FROM a JOIN t ON t.dataset = a.source QUALIFY row_number() OVER (PARTITION BY source ORDER BY ordinal) <= target",
         "total_cap": f"WITH {_ALPACA} SELECT ordinal, source FROM a ORDER BY source, ordinal LIMIT 700",
-        "shuffled_ranks": f"SELECT ordinal, md5('{SEED}-' || ordinal) AS place FROM canonical_examples",
+        "shuffled_ranks": f"SELECT ordinal, row_number() OVER (ORDER BY md5('{SEED}-' || ordinal), ordinal) AS place FROM canonical_examples",
         "random_sample": f"SELECT ordinal, dataset FROM canonical_examples ORDER BY md5('{SEED}-' || ordinal), ordinal LIMIT 100",
         "train_val_split": f"WITH r AS (SELECT ordinal, row_number() OVER (PARTITION BY (ordinal - 1) // {SHARD_ROWS} ORDER BY md5('{SEED}-' || ordinal), ordinal) AS rn, count(*) OVER (PARTITION BY (ordinal - 1) // {SHARD_ROWS}) AS n FROM canonical_examples) SELECT ordinal, CASE WHEN rn > n - round_even(n * {VAL_RATIO}::DOUBLE, 0) THEN 'val' ELSE 'train' END AS split FROM r",
         "chat_texts": f"WITH {_PREPARED} SELECT ordinal, {turn('system', system)} || {turn('user', chat)} || {turn('assistant', 'output')} AS chat FROM e",
@@ -309,5 +394,11 @@ def oracle_sql() -> dict[str, str]:
         "pass_at_k": f"WITH n AS (SELECT dataset, count(*)::BIGINT AS n, (count(*) FILTER (WHERE quality_score BETWEEN 0.5 AND 1.0))::BIGINT AS c FROM canonical_examples WHERE dataset IS NOT NULL GROUP BY dataset) SELECT dataset, n, c, {', '.join(map(pass_, K))} FROM n",
         "metadata_keys": "WITH m AS (SELECT ordinal, CASE WHEN json_valid(metadata) THEN CASE WHEN json_type(metadata) = 'OBJECT' THEN json_keys(metadata) END END AS k FROM canonical_examples) SELECT ordinal, coalesce(len(k), 0) AS n_keys, coalesce(array_to_string(list_sort(k), ','), '') AS keys, TRUE AS same_again FROM m",
         "enabled_datasets": "SELECT name, coalesce(shard_size, 50000) AS shard_rows FROM dataset_registry WHERE enabled",
+        "jsonl_rows": f"SELECT dataset, id, task_type, instruction, input, output FROM ({_adapted()}) WHERE task_type IN ('instruction', 'completion', 'qa', 'debugging', 'documentation')",
+        "stored_rows": "SELECT coalesce(dataset, '') AS dataset, count(*) AS n_rows, sum(length(coalesce(output, '')))::BIGINT AS n_chars, count_if(coalesce(license, 'unknown') = 'unknown')::BIGINT AS n_unknown FROM canonical_examples GROUP BY 1",
+        "shard_sidecar": f"WITH n AS (SELECT count(*) AS n FROM canonical_examples GROUP BY (ordinal - 1) // {SHARD_ROWS}) SELECT 'examples' AS dataset, sum(n - round_even(n * 0.05::DOUBLE, 0))::BIGINT AS train_rows, sum(round_even(n * 0.05::DOUBLE, 0))::BIGINT AS val_rows, sum(n)::BIGINT AS total_rows, TRUE AS named FROM n",
+        "training_file": f"WITH {_ALPACA} SELECT instruction, input, output FROM a",
+        "bloom_members": "SELECT count(*) AS n_texts, count(*) AS n_found FROM documents WHERE text IS NOT NULL",
+        "run_manifest": _run_sql(),
         "stream_keep_two": "SELECT sha256(output) AS output_hash, least(count(*), 2) AS n_kept FROM canonical_examples WHERE output IS NOT NULL GROUP BY output",
     }

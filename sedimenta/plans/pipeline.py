@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterable
-from pathlib import Path
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from sedimenta.operators.formats import to_alpaca
 from sedimenta.plans.registry import DatasetEntry, DatasetInfo, RunManifest, StateStore, enabled
 from sedimenta.session import materialise
 from sedimenta.sources.files import exists, processed_shards
-from sedimenta.sources.sinks import markdown, write_alpaca, write_json, write_shards
+from sedimenta.sources.sinks import file_system, markdown, write_alpaca, write_shards, write_sidecar, write_text
 
 log = logging.getLogger(__name__)
 
@@ -36,29 +37,45 @@ def run(spark: SparkSession, entries: Iterable[DatasetEntry], sources: dict[str,
     todo = [e for e in enabled(list(entries), names) if e.name in sources]
     skipped = {e.name for e in todo if resume and not force and state and (s := state.load(e.name)) and s.finished}
     stats: dict[str, dict] = {}
-    if todo:
-        tagged = [sources[e.name].withColumns({"_run": F.lit(i).cast("long") * (1 << 40) + F.col("ordinal"), "_dataset": F.lit(e.name)}) for i, e in enumerate(todo)]
-        rows = tagged[0]
-        for t in tagged[1:]:
-            rows = rows.unionByName(t, allowMissingColumns=True)
-        marked = materialise(mark(rows, config, "_run"), "run")
+    files: list[str] = []
+    rows, before = None, 0
+    for e in todo:
+        try:  # each source is read on its own, so that one that cannot be read stops no other
+            own = materialise(mixing.dense(sources[e.name], "ordinal", name="_n"), "run")
+            n = own.count()
+        except Exception:
+            log.exception("dataset %s cannot be read", e.name)
+            continue
+        own = own.withColumns({"_run": F.col("_n") + F.lit(before), "_dataset": F.lit(e.name)}).drop("_n")
+        rows, before = own if rows is None else rows.unionByName(own, allowMissingColumns=True), before + n
+    if rows is not None:
+        marked = materialise(mark(rows, config, "_run"), "run", "_dataset")
         stats = {r["_dataset"]: {k: v for k, v in r.asDict().items() if k != "_dataset"} for r in pipeline_stats(marked, "_dataset").collect()}
         for e in todo:
-            if dry_run or e.name in skipped:
+            if dry_run or e.name in skipped or e.name not in stats:
                 continue
             try:
                 if force and state:
                     state.reset(e.name)
-                own = marked.filter((F.col("_dataset") == e.name) & F.col("drop_reason").isNull()).drop("drop_reason", "_score", "_run", "_dataset")
-                write_shards(own, f"{out}/{e.name}", fmt, compression, e.shard_size or shard_rows, val_ratio, seed)
+                kept = marked.filter((F.col("_dataset") == e.name) & F.col("drop_reason").isNull())
+                size = e.shard_size or shard_rows
+                own = mixing.numbered(mixing.dense(kept, "_run"), "_n", size)
+                done = state.load(e.name).completed if resume and state and state.load(e.name) else []
+                counts = {r["shard"]: r["n"] for r in own.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # a row per shard
+                left = own.filter(~F.col("shard").isin(done)) if done else own
+                target = f"{out}/{e.name}"
+                write_shards(left.drop("drop_reason", "_score", "_run", "_dataset", "_n", "shard"), target, fmt, compression, size, val_ratio, seed, mode="append" if done else "overwrite", named=True)
+                write_sidecar(spark, target, e.name, fmt, compression)
+                files.append(target)
                 if state:
-                    state.mark_shard_done(e.name, 0, stats.get(e.name, {}).get("yielded", 0), [f"{out}/{e.name}"])
+                    for shard in sorted(set(counts) - set(done)):
+                        state.mark_shard_done(e.name, int(shard), counts[shard], [target])
                     state.mark_finished(e.name)
             except Exception:
                 log.exception("dataset %s failed", e.name)
-    manifest = RunManifest.from_run({"pipeline": repr(config)}, [] if dry_run else [f"{out}/{e.name}" for e in todo], stats)
+    manifest = RunManifest.from_run({"pipeline": repr(config)}, files, stats)
     if not dry_run:
-        manifest.save(f"{out}/manifest.json")
+        write_text(spark, f"{out}/manifest.json", json.dumps(asdict(manifest), ensure_ascii=False, indent=2))
     return manifest
 
 
@@ -67,7 +84,9 @@ def training_set(spark: SparkSession, processed: str, out: str, *, ratios: dict
 
     Folders whose names begin with ``_`` or ``.`` don't count. Nothing to write raises PipelineError. A dry run writes nothing.
     """
-    found = sorted(p.name for p in Path(processed).iterdir() if p.is_dir() and p.name[0] not in "_." and (not names or p.name in names))
+    fs, root = file_system(spark, processed)
+    folders = [f.getPath().getName() for f in fs.listStatus(root) if f.isDirectory()]
+    found = sorted(n for n in folders if n[0] not in "_." and (not names or n in names))
     rows = None
     for n in found:
         base = f"{processed}/{n}"
@@ -87,8 +106,8 @@ def training_set(spark: SparkSession, processed: str, out: str, *, ratios: dict
     if not dry_run:
         key = kept.withColumn("_k", F.concat_ws("-", "_source", F.col("ordinal._file"), F.col("ordinal._row").cast("string")))
         write_alpaca(mixing.shuffled(key, seed, "_k").withColumn("dataset", F.col("_source")), f"{out}/train")
-        write_json(f"{out}/build_stats.json", [r.asDict() for r in stats.collect()])
-        Path(f"{out}/build_stats.md").write_text(markdown(stats.orderBy("source"), "Training set") + markdown(profile.token_histogram(kept, "instruction", "output"), "Estimated tokens"), encoding="utf-8")
+        write_text(spark, f"{out}/build_stats.json", json.dumps([r.asDict() for r in stats.collect()], indent=2))
+        write_text(spark, f"{out}/build_stats.md", markdown(stats.orderBy("source"), "Training set") + markdown(profile.token_histogram(kept, "instruction", "output"), "Estimated tokens"))
         if info and register_as:
             info.register(register_as, DatasetInfo.entry("train"))
     return stats
@@ -106,24 +125,29 @@ def clean_table(df: DataFrame, order: str, target: str, report: str | None = Non
     stats = legacy.clean_stats(df, order, max_tokens, columns)
     legacy.clean(df, order, max_tokens, columns).write.mode("ignore").parquet(target)
     if report:
-        write_json(f"{report}.json", stats.first().asDict())
-        Path(f"{report}.md").write_text(markdown(stats, "Cleaning"), encoding="utf-8")
+        write_text(df.sparkSession, f"{report}.json", json.dumps(stats.first().asDict(), indent=2))
+        write_text(df.sparkSession, f"{report}.md", markdown(stats, "Cleaning"))
     return stats
 
 
 def validate_table(df: DataFrame, order: str | None = None, report: str | None = None) -> dict:
     """Profile of a table: columns, text columns, languages of each text column, duplicates."""
-    columns = profile.columns(df)
-    names = [r["column_name"] for r in columns.collect() if r["is_text"] and dict(df.dtypes)[r["column_name"]] == "string"]
-    out = {
-        "columns": [r.asDict() for r in columns.collect()],
-        "texts": [r.asDict() for r in profile.texts(df, names).collect()] if names else [],
-        "languages": {n: [r.asDict() for r in profile.languages(df, n).collect()] for n in names},
-        "duplicates": duplicate_rows(df, order).first().asDict(),
-    }
+    columns = materialise(profile.columns(df), "columns")  # one row per column, read twice
+    found = [r.asDict() for r in columns.collect()]
+    names = [r["column_name"] for r in found if r["is_text"] and r["dtype"] == "string"]
+    texts = [r.asDict() for r in profile.texts(df, names).collect()] if names else []
+    languages = {n: [r.asDict() for r in profile.languages(df, n).collect()] for n in names}
+    duplicates = duplicate_rows(df, order).first().asDict()
+    out = {"columns": found, "texts": texts, "languages": languages, "duplicates": duplicates}
     if report:
-        write_json(f"{report}.json", out)
-        Path(f"{report}.md").write_text(markdown(columns, "Columns"), encoding="utf-8")
+        spark = df.sparkSession
+        write_text(spark, f"{report}.json", json.dumps(out, indent=2, default=str))
+        parts = [markdown(columns, "Columns")]
+        if names:
+            parts.append(markdown(profile.texts(df, names), "Text lengths"))
+            parts += [markdown(spark.createDataFrame([(r["language"], r["n_rows"]) for r in rows], "language string, n_rows long"), f"Languages of {n}") for n, rows in languages.items()]
+        parts.append(markdown(spark.createDataFrame([tuple(duplicates.values())], "n_rows long, n_duplicates long, duplicate_pct double"), "Duplicates"))
+        write_text(spark, f"{report}.md", "\n".join(parts))
     return out
 
 

@@ -8,11 +8,10 @@ from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.adapters import RAW_FIELDS, adapt, parse_lines
+from sedimenta.operators.adapters import adapt, parse_lines
 from sedimenta.schema import from_storage
 
 log = logging.getLogger(__name__)
@@ -169,15 +168,7 @@ def download(spark: SparkSession, entries: list[dict], mirror: str, dry_run: boo
             else:
                 spark.read.parquet(source).write.mode("ignore").parquet(target)
                 out.append((e["name"], "OK", target))
-        except AnalysisException as x:
+        except Exception as x:  # noqa: BLE001 - whatever fails is reported, and the next entry follows
+            log.exception("download of %s failed", e["name"])
             out.append((e["name"], "FAILED", str(x).split("\n")[0]))
     return spark.createDataFrame(out, "name string, status string, message string")
-
-
-def split_counts(df: DataFrame, split: str = "split") -> DataFrame:
-    """(split, n_rows), and all splits as ``TOTAL``."""
-    return df.rollup(split).agg(F.count("*").alias("n_rows")).withColumn(split, F.coalesce(split, F.lit("TOTAL")))
-
-
-def raw_columns(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c in RAW_FIELDS]

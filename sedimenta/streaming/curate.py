@@ -15,6 +15,9 @@ from sedimenta.operators.curate import PipelineConfig, clean_stage, quality_stag
 from sedimenta.schema import CANONICAL
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def read_stream(spark: SparkSession, path: str, schema: T.StructType = CANONICAL, files_per_batch: int = 1) -> DataFrame:
     """Parquet files as they arrive; a micro-batch takes the place of a shard."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
@@ -55,5 +58,10 @@ def curated_stream(df: DataFrame, c: PipelineConfig = PipelineConfig(), order: s
 
 
 def start(df: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Writes what has arrived and stops; a restart with the same checkpoint takes up where it ended, exactly once."""
+    """Writes what has arrived and stops; a restart with the same checkpoint takes up where it ended, exactly once.
+
+    State lies in RocksDB on the executors' disks, not in their heaps, and is saved to the checkpoint by what changed.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(target)
