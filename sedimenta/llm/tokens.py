@@ -1,29 +1,15 @@
-"""Public tokenizers: loading, counting and the word pattern. Vocabulary files are read where they lie, never copied."""
+"""Token counts and words by the public tokenizers."""
 
 from __future__ import annotations
 
-import base64
-from functools import lru_cache
-
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Folder of the vocabulary files; every function takes another one as a parameter.
-TOKENIZERS = "/opt/tokenizers"
-# The pattern that splits a text into words before the merges.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-
-@lru_cache(maxsize=4)
-def encoding(name: str = "byte_bpe_50k", folder: str = TOKENIZERS):
-    """The rank file ``name`` as an encoder, loaded once in each worker."""
-    import tiktoken
+from sedimenta.functions.vocabulary import PATTERN, TOKENIZERS, encoding
 
-    with open(f"{folder}/{name}.tiktoken", "rb") as file:
-        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, file)}
-    return tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+__all__ = ["PATTERN", "TOKENIZERS", "encoding", "token_count", "words"]
 
 
 def token_count(text: Column, name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> Column:
